@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import format_copies, heavy_hitters
+from factloom.llm import format_copies, heavy_hitters, leakage, tokenize
 from factloom.runtime import table
 
 
@@ -50,7 +50,36 @@ def p4_counts(spark: SparkSession, root: str) -> DataFrame:
     return top.select(F.col("field").alias("field_name"), F.col("value").alias("label"), F.col("count").alias("n"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p3_found": p3_found, "p3_collapsed": p3_collapsed, "p4_found": p4_found, "p4_counts": p4_counts}
+def p6_ids(spark: SparkSession, root: str) -> DataFrame:
+    """Token ids of each document."""
+    return tokenize.encode(table(spark, root, "documents"))
+
+
+def p6_decoded(spark: SparkSession, root: str) -> DataFrame:
+    """Each document's text after encoding and decoding."""
+    return tokenize.decode(tokenize.encode(table(spark, root, "documents")))
+
+
+def p7_found(spark: SparkSession, root: str) -> DataFrame:
+    """Documents with the items they leak."""
+    return leakage.hits(table(spark, root, "documents"), table(spark, root, "eval_items")).select("doc_id", "item_id").distinct()
+
+
+def p7_covered(spark: SparkSession, root: str) -> DataFrame:
+    """Documents with the items they leak and the number of the item's words they hold."""
+    return leakage.leaks(table(spark, root, "documents"), table(spark, root, "eval_items"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p3_found": p3_found,
+    "p3_collapsed": p3_collapsed,
+    "p4_found": p4_found,
+    "p4_counts": p4_counts,
+    "p6_ids": p6_ids,
+    "p6_decoded": p6_decoded,
+    "p7_found": p7_found,
+    "p7_covered": p7_covered,
+}
 
 _NOISE_SQL = r"[\s\pZ\pC\pP$+<=>^`|~]+"
 _FORM_SQL = f"array_to_string(list_sort(list_filter(list_transform(regexp_split_to_array(lower({{0}}), '[,;/|]'), lambda p: regexp_replace(p, '{_NOISE_SQL}', '', 'g')), lambda p: p <> '')), chr(1))"
@@ -76,6 +105,7 @@ ORACLE: dict[str, str] = {
     "p3_collapsed": f"SELECT field_name, min(num) AS first_num, count(*) AS copies FROM ({_WHOLE_SQL}) GROUP BY field_name, subject, object, form",
     "p4_found": f"SELECT field_name, label FROM ({_COUNTS_SQL})",
     "p4_counts": _COUNTS_SQL,
+    "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }
 
 
