@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import format_copies, heavy_hitters, leakage, tokenize
+from factloom.llm import format_copies, heavy_hitters, leakage, tokenize, truncation
 from factloom.runtime import table
 
 
@@ -70,6 +70,16 @@ def p7_covered(spark: SparkSession, root: str) -> DataFrame:
     return leakage.leaks(table(spark, root, "documents"), table(spark, root, "eval_items"))
 
 
+def p8_found(spark: SparkSession, root: str) -> DataFrame:
+    """Documents that were cut."""
+    return truncation.truncated(table(spark, root, "documents")).filter("cut").select("doc_id").distinct()
+
+
+def p8_rates(spark: SparkSession, root: str) -> DataFrame:
+    """How often each source cuts."""
+    return truncation.rates(table(spark, root, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": p3_found,
     "p3_collapsed": p3_collapsed,
@@ -79,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_decoded": p6_decoded,
     "p7_found": p7_found,
     "p7_covered": p7_covered,
+    "p8_found": p8_found,
+    "p8_rates": p8_rates,
 }
 
 _NOISE_SQL = r"[\s\pZ\pC\pP$+<=>^`|~]+"
