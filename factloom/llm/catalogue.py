@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import format_copies, heavy_hitters, leakage, tokenize, truncation
+from factloom.llm import format_copies, heavy_hitters, leakage, neighbours, tokenize, truncation
 from factloom.runtime import table
 
 
@@ -25,6 +25,8 @@ def _records(spark: SparkSession, root: str) -> DataFrame:
     return facts.unionByName(typed)
 
 
+#: Neighbours of any similarity are spread over more cells than near ones.
+NEIGHBOUR_SLACK = 0.6
 KEYS = ["field_name", "subject", "object", "form"]
 
 
@@ -50,6 +52,17 @@ def p4_counts(spark: SparkSession, root: str) -> DataFrame:
     return top.select(F.col("field").alias("field_name"), F.col("value").alias("label"), F.col("count").alias("n"))
 
 
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    """Pairs of indexes of similar vectors."""
+    return neighbours.similar_pairs(table(spark, root, "label_vector"))
+
+
+def p5_neighbours(spark: SparkSession, root: str) -> DataFrame:
+    """The five most similar vectors, however similar, of every hundredth index."""
+    found = neighbours.similar(table(spark, root, "label_vector"), 5, slack=NEIGHBOUR_SLACK, every=100)
+    return found.select("kind", "index", "neighbour", "rank")
+
+
 def p6_ids(spark: SparkSession, root: str) -> DataFrame:
     """Token ids of each document."""
     return tokenize.encode(table(spark, root, "documents"))
@@ -85,6 +98,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_collapsed": p3_collapsed,
     "p4_found": p4_found,
     "p4_counts": p4_counts,
+    "p5_found": p5_found,
+    "p5_neighbours": p5_neighbours,
     "p6_ids": p6_ids,
     "p6_decoded": p6_decoded,
     "p7_found": p7_found,
