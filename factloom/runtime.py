@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +58,21 @@ def _remove(spark: SparkSession, path: str) -> None:
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
     except Exception:  # the session may be gone by then
         shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, through Spark's file server."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="factloom-package-")) / f"{package.name}.zip"
+    atexit.register(shutil.rmtree, archive.parent, True)
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, f"{package.name}/{file.relative_to(package)}")
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
