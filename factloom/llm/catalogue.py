@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import format_copies, heavy_hitters, leakage, neighbours, tokenize, truncation
+from factloom.llm import format_copies, heavy_hitters, leakage, names, neighbours, tokenize, truncation
 from factloom.runtime import table
 
 
@@ -30,6 +30,22 @@ NEIGHBOUR_SLACK = 0.6
 KEYS = ["field_name", "subject", "object", "form"]
 
 
+def _labels(spark: SparkSession, root: str) -> DataFrame:
+    return table(spark, root, "entity").select("label").unionByName(table(spark, root, "triple").select(F.col("object_label").alias("label")))
+
+
+def p2_found(spark: SparkSession, root: str) -> DataFrame:
+    """Pairs of spellings of one person or organisation."""
+    return names.same_names(_labels(spark, root))
+
+
+def p2_clusters(spark: SparkSession, root: str) -> DataFrame:
+    """Each spelling of a person or organisation with its cluster and the number of spellings there."""
+    found = names.clusters(_labels(spark, root)).select("label", "centre")
+    sizes = found.groupBy("centre").agg(F.count("*").alias("spellings"))
+    return found.join(sizes, "centre").select("label", "centre", "spellings")
+
+
 def p3_found(spark: SparkSession, root: str) -> DataFrame:
     """Each further id of a fact that is stored under several ids."""
     return format_copies.runs(_records(spark, root), KEYS, "num", singles=False).filter("copy_num > first_num").select("field_name", "first_num", "copy_num")
@@ -94,6 +110,8 @@ def p8_rates(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p2_found": p2_found,
+    "p2_clusters": p2_clusters,
     "p3_found": p3_found,
     "p3_collapsed": p3_collapsed,
     "p4_found": p4_found,
