@@ -212,7 +212,7 @@ def message_state(body: list[str], open_line: bool, subject_there: bool) -> tupl
         return (ASK, "path", last) if re.match(r"#\t\S+\.\w+$", last) else (CUT, "conflicts", "")
     if last.startswith("Change-Id"):
         return (WHOLE, "trailer", "") if CHANGE.match(last) else (CUT, "trailer", "")
-    if TRAILER.match(last) and not kept[-2 if len(kept) > 1 else 0].strip() or re.match(r"[A-Z][a-z]+-by:|Signed-off", last):
+    if TRAILER.match(last) and (len(kept) == 1 or not kept[-2].strip()) or re.match(r"[A-Z][a-z]+-by:|Signed-off", last):
         if "-by:" in last or "@" in last or "<" in last:
             return (WHOLE, "trailer", "") if PERSON.search(last) else (CUT, "trailer", "")
         return ASK, "trailer", last

@@ -111,6 +111,7 @@ WHOLE = {
     "hook": ("webhook_log", "event: push\nsha: " + "a" * 40 + "\nauthor: A <a@b.example>\nmessage: |\n  Fix it\npatch: |\n" + "\n".join("  " + x for x in HUNK.split("\n")) + "\n"),
     "binary": ("forge_dump", HEAD + "diff --git a/x.png b/x.png\nindex 1234567..89abcde 100644\nBinary files a/x.png and b/x.png differ"),
     "bundle": ("bundle_import", "Fix it"),
+    "only a trailer": ("review_export", "# Fix\n\n**Author:** A <a@b.example>\n\n\nRefs: #8980\n"),
 }
 
 
