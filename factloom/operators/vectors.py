@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from factloom.runtime import staged
 
 BLOCK_ROWS, LOT_ROWS, STEP = 8_192, 65_536, 1_024
+#: Different vectors a component may have: its distances must fit into one task's memory.
+MOST_LINKED = 12_000
 
 
 class Embedder(Protocol):
@@ -103,15 +105,16 @@ def exact_topk(queries: DataFrame, base: DataFrame, k: int = 5, group: str = "ki
     return found.withColumn("position", F.row_number().over(best) - 1).filter(F.col("position") < k).select(group, "query", "neighbour", "position", "similarity")
 
 
-def average_linkage(distances: np.ndarray, threshold: float) -> np.ndarray:
+def average_linkage(distances: np.ndarray, threshold: float, weights: np.ndarray | None = None) -> np.ndarray:
     """Cluster numbers by agglomerative clustering with average linkage; merges at or above ``threshold`` don't happen.
 
     Nearest-neighbour chains: a pair that are each other's nearest is merged at once, which gives the same tree.
+    ``weights`` says how many equal points each row stands for.
     """
     n = len(distances)
     d = distances.astype(np.float64).copy()
     np.fill_diagonal(d, np.inf)
-    size, alive, of = np.ones(n), np.ones(n, dtype=bool), np.arange(n)
+    size, alive, of = np.ones(n) if weights is None else weights.astype(np.float64).copy(), np.ones(n, dtype=bool), np.arange(n)
     chain: list[int] = []
     merges = []
     while alive.sum() > 1:
@@ -140,39 +143,50 @@ def average_linkage(distances: np.ndarray, threshold: float) -> np.ndarray:
     return of
 
 
-def cluster_vectors(df: DataFrame, threshold: float = 0.15, rounds: int = 30) -> DataFrame:
+def cluster_vectors(df: DataFrame, threshold: float = 0.15) -> DataFrame:
     """``idx, cluster`` of rows ``idx, embedding``: average linkage on cosine distance, cut at ``threshold``.
 
-    A merge below the threshold needs a pair below it, so every cluster lies in one component of the graph of such pairs;
-    components are found by spreading least members over checkpointed rounds, and each is clustered exactly. ``cluster``
-    is the least member. Zero vectors are alone.
+    A merge below the threshold needs a pair below it, so every cluster lies in one component of the graph of such pairs,
+    and each component is clustered exactly. Equal vectors are one weighted point, so many copies don't make a component
+    large; one of more than MOST_LINKED different vectors is an error, as average linkage needs all its distances.
+    ``cluster`` is the least member. Zero vectors are alone; null ones are left out. The pairs come from blocks of the
+    whole queue, which suits the tens of thousands of labels that a round takes.
     """
     norm = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     one = staged(df.select("idx", "embedding").dropna().groupBy("idx").agg(F.min("embedding").alias("embedding")))
-    there = one.filter(norm > 0).withColumn("kind", F.lit("all"))
-    pairs = near_pairs(there, 1 - threshold)
-    edges = staged(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    roots = one.select("idx", F.col("idx").alias("root"))
-    for _ in range(rounds):
-        lower = edges.join(roots, edges.b == roots.idx).groupBy("a").agg(F.min("root").alias("low"))
-        spread = staged(roots.join(lower, roots.idx == lower.a, "left").select("idx", F.least("root", F.coalesce("low", "root")).alias("root"), (F.col("low") < F.col("root")).alias("moved")))
-        moved = spread.filter("moved").limit(1).count()
-        roots = spread.select("idx", "root")
-        if not moved:
-            break
-    else:
-        raise RuntimeError(f"components still change after {rounds} rounds")
+    points = staged(one.filter(norm > 0).groupBy("embedding").agg(F.min("idx").alias("idx"), F.count("*").alias("weight")))
+    roots = components(near_pairs(points.select(F.lit("all").alias("kind"), "idx", "embedding"), 1 - threshold))
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        if len(pdf) > MOST_LINKED:
+            raise ValueError(f"{len(pdf)} different vectors hang together below the threshold; lower it")
         pdf = pdf.sort_values("idx")
-        if len(pdf) == 1:
-            return pd.DataFrame({"idx": pdf["idx"], "cluster": pdf["idx"]})
-        x = _unit(pdf["embedding"])
-        of = average_linkage(1 - x @ x.T, threshold)
         ids = pdf["idx"].to_numpy()
+        x = _unit(pdf["embedding"])
+        of = average_linkage(1 - x @ x.T, threshold, pdf["weight"].to_numpy())
         return pd.DataFrame({"idx": ids, "cluster": pd.Series(ids).groupby(of).transform("min").to_numpy()})
 
-    return one.join(roots, "idx").groupBy("root").applyInPandas(link, "idx long, cluster long")
+    linked = points.join(roots, "idx").groupBy("root").applyInPandas(link, "idx long, cluster long")
+    of_point = points.join(linked, "idx", "left").select("embedding", F.coalesce("cluster", "idx").alias("cluster"))
+    return one.join(of_point, "embedding", "left").select("idx", F.coalesce("cluster", "idx").alias("cluster"))
+
+
+def components(pairs: DataFrame) -> DataFrame:
+    """``idx, root`` for every end of ``pairs`` (``a, b``): the least member of its component.
+
+    Each round takes the least root of the neighbours and then the root of that root, so paths shorten by halves.
+    """
+    edges = staged(pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    roots = edges.groupBy(F.col("a").alias("idx")).agg(F.min(F.least("a", "b")).alias("root"))
+    while True:
+        roots = staged(roots)
+        lower = edges.join(roots, F.col("b") == F.col("idx")).groupBy("a").agg(F.min("root").alias("low"))
+        nearer = roots.join(lower, F.col("idx") == F.col("a")).select("idx", "root", F.least("root", "low").alias("low"))
+        jump = roots.select(F.col("idx").alias("low"), F.col("root").alias("far"))
+        moved = staged(nearer.join(jump, "low", "left").select("idx", F.least("low", F.coalesce("far", "low")).alias("root"), (F.least("low", F.coalesce("far", "low")) < F.col("root")).alias("moved")))
+        roots = moved.select("idx", "root")
+        if moved.filter("moved").isEmpty():
+            return roots
 
 
 def near_pairs(df: DataFrame, least: float) -> DataFrame:

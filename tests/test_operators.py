@@ -138,6 +138,19 @@ def test_clusters_in_components(spark):
     assert got == want
 
 
+def test_components_of_a_long_path(spark):
+    pairs = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (102, 101)]
+    got = {r["idx"]: r["root"] for r in vectors.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
+
+
+def test_many_copies_are_one_point(spark):
+    rows = [(i, [1.0, 0.0] if i < 500 else [0.0, 1.0]) for i in range(510)] + [(600, [1.0, 0.02])]
+    got = {r["idx"]: r["cluster"] for r in vectors.cluster_vectors(spark.createDataFrame(rows, "idx long, embedding array<float>")).collect()}
+    assert got == {i: 0 for i in range(500)} | {i: 500 for i in range(500, 510)} | {600: 0}
+    assert vectors.cluster_vectors(spark.createDataFrame([], "idx long, embedding array<float>")).count() == 0
+
+
 def test_exact_topk_equals_brute_force(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(60, 4)).round(1)
