@@ -145,11 +145,23 @@ _COUNTS_SQL = " UNION ALL ".join(
     f"SELECT * FROM (SELECT '{c}' AS field_name, {c} AS label, count(*) AS n FROM triple WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY n DESC, label LIMIT 10)" for c in ("predicate_label", "object_label")
 )
 
+_WORDS_SQL = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
+_GRAMS_SQL = "SELECT DISTINCT {0}, unnest(list_transform(range(1, len(w) - 10), lambda k: array_to_string(w[k:k+11], ' '))) AS g FROM {1} WHERE len(w) >= 12"
+_LEAKS_SQL = f"""WITH d AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents WHERE text IS NOT NULL), i AS (SELECT item_id, {_WORDS_SQL} AS w FROM eval_items WHERE text IS NOT NULL)
+    SELECT DISTINCT doc_id, item_id FROM ({_GRAMS_SQL.format("doc_id", "d")}) JOIN ({_GRAMS_SQL.format("item_id", "i")}) USING (g)
+    UNION SELECT doc_id, item_id FROM d JOIN i ON len(i.w) BETWEEN 1 AND 11 AND contains(' ' || array_to_string(d.w, ' ') || ' ', ' ' || array_to_string(i.w, ' ') || ' ')"""
+_UNITS_SQL = "(SELECT *, sqrt(list_dot_product(v, v)) AS norm FROM (SELECT kind, embedding_index AS idx, min(embedding)::DOUBLE[] AS v FROM label_vector GROUP BY 1, 2) WHERE list_dot_product(v, v) > 0)"
+_NEAR_SQL = f"""SELECT kind, index, neighbour, CAST(row_number() OVER (PARTITION BY kind, index ORDER BY round(s, 7) DESC, neighbour) AS INTEGER) AS rank, s
+    FROM (SELECT a.kind, a.idx AS index, b.idx AS neighbour, list_dot_product(a.v, b.v) / (a.norm * b.norm) AS s FROM {_UNITS_SQL} a JOIN {_UNITS_SQL} b ON a.kind = b.kind AND a.idx <> b.idx)"""
+
 ORACLE: dict[str, str] = {
     "p3_found": f"""SELECT field_name, first_num, num AS copy_num FROM (SELECT field_name, num, min(num) OVER (PARTITION BY field_name, subject, object, form) AS first_num FROM ({_WHOLE_SQL})) WHERE num > first_num""",
     "p3_collapsed": f"SELECT field_name, min(num) AS first_num, count(*) AS copies FROM ({_WHOLE_SQL}) GROUP BY field_name, subject, object, form",
     "p4_found": f"SELECT field_name, label FROM ({_COUNTS_SQL})",
     "p4_counts": _COUNTS_SQL,
+    "p5_found": f"SELECT DISTINCT kind, least(index, neighbour) AS index_a, greatest(index, neighbour) AS index_b FROM ({_NEAR_SQL}) WHERE rank <= 5 AND s >= 0.85",
+    "p5_neighbours": f"SELECT kind, index, neighbour, rank FROM ({_NEAR_SQL}) WHERE rank <= 5 AND index % 100 = 0",
+    "p7_found": _LEAKS_SQL,
     "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }
 
