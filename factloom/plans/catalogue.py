@@ -498,13 +498,19 @@ def build_prompt_elicitation(spark: SparkSession, root: str) -> DataFrame:
     return at(spark, root, "entity").select("id", prompts.elicitation(F.col("label"), F.col("description")).alias("prompt"))
 
 
-@query("request_lines")
+_SYSTEM = prompts.SYSTEM["ner"].replace("\\", "\\\\").replace('"', '\\"').replace("'", "''")
+_USER = f"to_json('Phrase: ' || {_S('object_label')} || ' | Statement: ' || {_STATEMENT})::VARCHAR"
+_REQUEST = f"""SELECT '{{"custom_id":"' || triple_id || '","method":"POST","url":"/v1/responses","body":{{"model":"model","input":[{{"role":"developer","content":"{_SYSTEM}"}},{{"role":"user","content":' || {_USER} || '}}],"reasoning":{{"effort":"minimal"}},"text":{{"verbosity":"low","format":{{"type":"json_object"}}}},"max_output_tokens":256}}}}' AS value FROM t_ WHERE {_READY_SQL["ner"]}"""
+_CHAT = f"""SELECT '{{"custom_id":"' || triple_id || '","method":"POST","url":"/v1/chat/completions","body":{{"model":"model","messages":[{{"role":"user","content":"{_SYSTEM}\\n\\n' || substr({_USER}, 2) || '}}],"max_tokens":256,"response_format":{{"type":"json_object"}}}}}}' AS value FROM t_ WHERE {_READY_SQL["ner"]}"""
+
+
+@query("request_lines", _REQUEST)
 def request_lines(spark: SparkSession, root: str) -> DataFrame:
     user = prompts.ner(*_spo())
     return queues.ready(table(spark, root, "triple"), "ner").select(prompts.request("ner", F.col("triple_id"), user).alias("value"))
 
 
-@query("chat_request_lines")
+@query("chat_request_lines", _CHAT)
 def chat_request_lines(spark: SparkSession, root: str) -> DataFrame:
     return request_lines(spark, root).select(prompts.chat_request(F.col("value"), merge_system=True).alias("value"))
 
@@ -578,11 +584,32 @@ def apply_nedg(spark: SparkSession, root: str) -> DataFrame:
     return _after(outcomes.apply_nedg(state, found), "triple", state["triple"], "object_description", "object_status")
 
 
-@query("apply_ned2")
+_NED2O = ["none", "pick", "failed"]
+_NEW = f"(SELECT * FROM t_ WHERE {_READY_SQL['ned2']} AND {_script_sql(_NED2O)} = 'none')"
+
+
+def _equal(table: str, new: str, value: str, safe: bool) -> str:
+    """Whether a row of ``table`` has the signature that row ``p`` gets."""
+    other = " AND ".join(f"s.{c} = p.{c}" for c in SIGNATURE if c not in (new, "predicate_id"))
+    predicate = f"s.predicate_id {'IS NOT DISTINCT FROM' if safe else '='} p.predicate_id AND " if new != "predicate_id" else ""
+    return f"EXISTS (SELECT 1 FROM {table} s WHERE {predicate}s.{new} = p.{value} AND {other})"
+
+
+@query(
+    "apply_ned2",
+    f""", u AS ({_upsert_sql(_NEW, "triple_id", "object_label", "object_description", "e_", "E")}),
+    q1 AS (SELECT t_.*, u.id AS oid, row_number() OVER (PARTITION BY subject_id, subject_label, predicate_id, predicate_label, u.id, object_label ORDER BY triple_id) AS nth FROM t_ JOIN u USING (triple_id)),
+    d1 AS (SELECT triple_id FROM q1 p WHERE nth > 1 OR {_equal("t_", "object_id", "oid", False)}),
+    t1 AS (SELECT t_.* REPLACE (coalesce(oid, t_.object_id) AS object_id, CASE WHEN oid IS NULL THEN t_.object_status ELSE 'finished' END AS object_status) FROM t_ LEFT JOIN (SELECT triple_id, oid FROM q1) USING (triple_id) WHERE triple_id NOT IN (FROM d1)),
+    q2 AS (SELECT *, row_number() OVER (PARTITION BY subject_id, subject_label, predicate_id, predicate_label, picked, object_label ORDER BY triple_id) AS nth FROM (SELECT *, {_PICKED} AS picked FROM t1 WHERE {_READY_SQL["ned2"]} AND {_script_sql(_NED2O)} = 'pick')),
+    d2 AS (SELECT triple_id FROM q2 p WHERE nth > 1 OR {_equal("t1", "object_id", "picked", True)})
+    SELECT triple_id, coalesce(picked, object_id) AS object_id, CASE WHEN picked IS NULL THEN object_status ELSE 'finished' END AS object_status
+    FROM t1 LEFT JOIN (SELECT triple_id, picked FROM q2) USING (triple_id) WHERE triple_id NOT IN (FROM d2)""",
+)
 def apply_ned2(spark: SparkSession, root: str) -> DataFrame:
     state = state_of(spark, root)
     picked = F.concat(F.lit("E"), (ids.num(F.col("triple_id")) % 50).cast("string"))
-    found = _scripted(queues.ready(state["triple"], "ned2"), "triple_id", ["none", "pick", "failed"], picked=picked)
+    found = _scripted(queues.ready(state["triple"], "ned2"), "triple_id", _NED2O, picked=picked)
     return _after(outcomes.apply_ned2(state, found), "triple", state["triple"], "object_id", "object_status")
 
 
@@ -605,7 +632,17 @@ def apply_pd(spark: SparkSession, root: str) -> DataFrame:
     return _after(outcomes.apply_pd(state, found), "triple", state["triple"], "predicate_id", "predicate_status", "object_type", "object_status")
 
 
-@query("apply_pdg")
+_RELATIONS = f"(SELECT *, 'Relation ' || predicate_label AS about FROM t_ WHERE {_READY_SQL['pdg']} AND {_script_sql(_TEXT)} = 'text')"
+
+
+@query(
+    "apply_pdg",
+    f""", u AS ({_upsert_sql(_RELATIONS, "triple_id", "predicate_label", "about", "p_", "P")}),
+    q AS (SELECT t_.*, u.id AS pid, row_number() OVER (PARTITION BY subject_id, subject_label, u.id, predicate_label, object_id, object_label ORDER BY triple_id) AS nth FROM t_ JOIN u USING (triple_id)),
+    dup AS (SELECT triple_id FROM q p WHERE nth > 1 OR {_equal("t_", "predicate_id", "pid", False)})
+    SELECT triple_id, coalesce(pid, t_.predicate_id) AS predicate_id, CASE WHEN pid IS NULL THEN t_.predicate_status ELSE 'finished' END AS predicate_status
+    FROM t_ LEFT JOIN (SELECT triple_id, pid FROM q) USING (triple_id) WHERE triple_id NOT IN (FROM dup)""",
+)
 def apply_pdg(spark: SparkSession, root: str) -> DataFrame:
     state = state_of(spark, root)
     found = _scripted(queues.ready(state["triple"], "pdg"), "triple_id", _TEXT, text=F.concat(F.lit("Relation "), "predicate_label"))
