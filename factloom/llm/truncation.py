@@ -46,6 +46,11 @@ TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+|[^\W\d_]+|_|\n|[^\s\w]")
 #: (inside a word), or if it occurs LEAST_INNER times and nearly never at a line's end (inside a line).
 LEAST_LONGER, LEAST_INNER = 10, 100
 MOST_OWN, MOST_ENDS = 0.01, 0.0005
+#: The same after the token before it, for the last lines of diffs.
+PAIR_LONGER, PAIR_INNER = 50, 200
+PAIR_OWN, PAIR_ENDS = 0.005, 0.002
+#: Lines of encoded bytes, whose tokens say nothing.
+BYTES = re.compile(r"(?m)^[ \t]*z\S{60,}\r?$")
 #: Tokens are joined by the hash of a prefix of this length, shorter ones by their own.
 PREFIX = 3
 
@@ -135,6 +140,8 @@ def diff_state(lines: list[str], svn: bool) -> tuple[int, str]:
             complete = True
             continue
         return CUT, "diff line"
+    if complete and last is lines[-1] and not last.strip() and last != " ":
+        return CUT, "indent"  # a blank line of a hunk is its mark alone
     return (ASK, last) if complete and last else (WHOLE, "") if complete else (CUT, "file header")
 
 
@@ -234,7 +241,7 @@ def _states(df: DataFrame, ident: str, text: str, source: str) -> DataFrame:
             rows = []
             for d, t, s in zip(pdf["__id"], pdf["__text"], pdf["__source"]):
                 state, why, last = end_state(t, s)
-                token = None
+                before = token = None
                 if state == ASK and why == "prose":
                     state = CUT  # a sentence that nothing ends
                 elif state == ASK:
@@ -244,17 +251,22 @@ def _states(df: DataFrame, ident: str, text: str, source: str) -> DataFrame:
                         state = WHOLE
                     else:
                         token = tail[-1].lower()
-                rows.append((d, s, state, why, token))
-            yield pd.DataFrame(rows, columns=["ident", "source", "state", "why", "token"])
+                        if why == "last line":
+                            before = tail[-2].lower() if len(tail) > 1 else "\n"
+                elif why == "indent" and t.endswith("\n"):
+                    state = WHOLE
+                rows.append((d, s, state, why, before, token))
+            yield pd.DataFrame(rows, columns=["ident", "source", "state", "why", "before", "token"])
 
     kind = df.schema[ident].dataType.simpleString()
     there = df.select(F.col(ident).alias("__id"), F.col(text).cast("string").alias("__text"), F.col(source).cast("string").alias("__source"))
     # null, empty and blank texts were not cut
-    return there.filter(F.col("__text").rlike(r"\S")).mapInPandas(run, f"ident {kind}, source string, state int, why string, token string")
+    return there.filter(F.col("__text").rlike(r"\S")).mapInPandas(run, f"ident {kind}, source string, state int, why string, before string, token string")
 
 
 def _counts(df: DataFrame, text: str) -> DataFrame:
-    """``token, ends, goes``: how often each token ends a line, and how often its line goes on, in the whole corpus.
+    """``before, token, ends, goes``: how often each token, after the token before it, ends a line, and how often its line
+    goes on, in the whole corpus.
 
     The last token of each text doesn't count, as it may be cut.
     """
@@ -263,18 +275,49 @@ def _counts(df: DataFrame, text: str) -> DataFrame:
         for pdf in frames:
             counts: Counter = Counter()
             for t in pdf["__text"]:
+                if "GIT binary patch" in t:
+                    t = BYTES.sub("", t)
                 tokens = TOKEN.findall(t)
-                counts.update(zip(tokens, map("\n".__eq__, tokens[1:])))
-            totals: dict[str, list[int]] = {}
-            for (token, end), n in counts.items():
+                counts.update(zip(["\n", *tokens], tokens, map("\n".__eq__, tokens[1:])))
+            totals: dict[tuple[str, str], list[int]] = {}
+            for (before, token, end), n in counts.items():
                 if token != "\n":
-                    key = "0" if token[0].isdigit() else token.lower()
-                    totals.setdefault(key, [0, 0])[not end] += n
-            yield pd.DataFrame([(k, *v) for k, v in totals.items()], columns=["token", "ends", "goes"])
+                    key = ("0" if before[0].isdigit() else before.lower(), "0" if token[0].isdigit() else token.lower())
+                    both = totals.get(key)
+                    if both is None:
+                        both = totals[key] = [0, 0]
+                    both[not end] += n
+            yield pd.DataFrame([(*k, *v) for k, v in totals.items()], columns=["before", "token", "ends", "goes"])
 
     there = df.select(F.regexp_replace(F.col(text).cast("string"), "\r", "").alias("__text")).dropna()
-    counted = there.mapInPandas(run, "token string, ends long, goes long")
-    return counted.groupBy("token").agg(F.sum("ends").alias("ends"), F.sum("goes").alias("goes"))
+    counted = there.mapInPandas(run, "before string, token string, ends long, goes long")
+    return counted.groupBy("before", "token").agg(F.sum("ends").alias("ends"), F.sum("goes").alias("goes"))
+
+
+def _evidence(tails: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys..., ends, goes, longer``: what the corpus says of each tail, joined by a hashed prefix of its last token."""
+    prefixes = F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(PREFIX), F.length("token"))), lambda n: F.substr(F.col("token"), F.lit(1), n)))
+    context = keys[:-1]
+    there = seen.select(*context, prefixes.alias("prefix"), F.col("token").alias("other"), "ends", "goes")
+    same = F.col("other") == F.col("token")
+    return (
+        tails.withColumn("prefix", F.substring("token", 1, PREFIX))
+        .join(there, [*context, "prefix"])
+        .filter(F.col("other").startswith(F.col("token")))
+        .groupBy(*keys)
+        .agg(
+            F.sum(F.when(same, F.col("ends")).otherwise(0)).alias("ends"),
+            F.sum(F.when(same, F.col("goes")).otherwise(0)).alias("goes"),
+            F.sum(F.when(same, 0).otherwise(F.col("ends") + F.col("goes"))).alias("longer"),
+        )
+    )
+
+
+def _judged(evidence: DataFrame, keys: list[str], name: str, longer: int, inner: int, own: float, ends: float) -> DataFrame:
+    all_own = F.col("ends") + F.col("goes")
+    inside_word = (F.col("longer") >= longer) & (all_own <= own * F.col("longer"))
+    inside_line = (F.col("goes") >= inner) & (F.col("ends") <= ends * all_own)
+    return evidence.select(*keys, F.when(inside_word, F.lit("inside a word")).when(inside_line, F.lit("inside a line")).alias(name)).dropna(subset=[name])
 
 
 def truncated(df: DataFrame, ident: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -283,31 +326,18 @@ def truncated(df: DataFrame, ident: str = "doc_id", text: str = "text", source:
     The layout of a text says what must follow: hunk headers say how many lines, svn headers how long the message is,
     mails and exports have an end mark, sentences a stop. Where only the last line may be incomplete, its last token is
     joined with the tokens of the whole corpus by a hashed prefix of fixed length: a strict prefix of longer tokens that
-    is no token itself was cut, and so was a line that ends where lines never end. Null, empty and blank texts give no
+    is no token itself was cut, and so was a line that ends where lines never end. In diffs the same is asked of the last
+    token after the one before it. Null, empty and blank texts give no
     row; texts of no known layout are taken as messages; rows repeated give repeated rows.
     """
     states = staged(_states(df, ident, text, source))
-    tails = states.filter("token is not null").select("token").distinct()
-    seen = _counts(df, text)
-    prefixes = F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(PREFIX), F.length("token"))), lambda n: F.substr(F.col("token"), F.lit(1), n)))
-    longer = seen.select(prefixes.alias("prefix"), F.col("token").alias("longer"), "ends", "goes")
-    same = F.col("longer") == F.col("token")
-    evidence = (
-        tails.withColumn("prefix", F.substring("token", 1, PREFIX))
-        .join(longer, "prefix")
-        .filter(F.col("longer").startswith(F.col("token")))
-        .groupBy("token")
-        .agg(
-            F.sum(F.when(same, F.col("ends")).otherwise(0)).alias("ends"),
-            F.sum(F.when(same, F.col("goes")).otherwise(0)).alias("goes"),
-            F.sum(F.when(same, 0).otherwise(F.col("ends") + F.col("goes"))).alias("longer"),
-        )
-    )
-    own = F.col("ends") + F.col("goes")
-    inside_word = (F.col("longer") >= LEAST_LONGER) & (own <= MOST_OWN * F.col("longer"))
-    inside_line = (F.col("goes") >= LEAST_INNER) & (F.col("ends") <= MOST_ENDS * own)
-    judged = evidence.select("token", F.when(inside_word, F.lit("inside a word")).when(inside_line, F.lit("inside a line")).alias("tail")).dropna()
-    out = states.join(judged, "token", "left")
+    pairs = staged(_counts(df, text))
+    tokens = pairs.groupBy("token").agg(F.sum("ends").alias("ends"), F.sum("goes").alias("goes"))
+    tails = states.filter("token is not null")
+    alone = _judged(_evidence(tails.select("token").distinct(), tokens, ["token"]), ["token"], "alone", LEAST_LONGER, LEAST_INNER, MOST_OWN, MOST_ENDS)
+    keys = ["before", "token"]
+    after = _judged(_evidence(tails.filter("before is not null").select(*keys).distinct(), pairs, keys), keys, "after", PAIR_LONGER, PAIR_INNER, PAIR_OWN, PAIR_ENDS)
+    out = states.join(alone, "token", "left").join(after, keys, "left").withColumn("tail", F.coalesce("alone", "after"))
     return out.select(
         F.col("ident").alias(ident),
         "source",
