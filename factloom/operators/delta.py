@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -64,6 +63,3 @@ class Delta:
     @property
     def tables(self) -> set[str]:
         return {*self.deletes, *self.updates, *self.inserts}
-
-
-Apply = Callable[..., Delta]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
 from typing import Protocol
 
 import numpy as np

@@ -12,7 +12,7 @@ from factloom.operators import candidates, dedup, delta, outcomes, queues, reuse
 from factloom.operators.ingest import ingest
 from factloom.plans import skew
 from factloom.runtime import table
-from factloom.schema import JOBS, SIGNATURE, once
+from factloom.schema import CONCEPT_STATUS, ENTITY_STATUS, JOBS, OBJECT_STATUS, OBJECT_TYPE, PREDICATE_STATUS, SIGNATURE, once, outside_domain
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = dict(skew.QUERIES)
@@ -116,6 +116,19 @@ def capacity_plan(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "entity").agg(entities).select(F.explode(plan).alias("x")).select("x.*")
 
 
+_DOMAINS = (("triple", "object_status", OBJECT_STATUS), ("triple", "predicate_status", PREDICATE_STATUS), ("triple", "object_type", OBJECT_TYPE), ("instance_triple", "status", CONCEPT_STATUS), ("entity", "status", ENTITY_STATUS))
+
+
+@query("outside_domains", " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS n FROM {t[0]}_ WHERE {c} IS NULL OR {c} NOT IN {d}" for t, c, d in _DOMAINS))
+def outside_domains(spark: SparkSession, root: str) -> DataFrame:
+    """Rows with a state that no table may hold."""
+    whole = None
+    for name, column, domain in _DOMAINS:
+        one = outside_domain(at(spark, root, name), column, domain).agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), F.lit(column).alias("column_name"), "n")
+        whole = one if whole is None else whole.unionByName(one)
+    return whole
+
+
 # --- queues: F1-F13 ----------------------------------------------------------------------------------------------
 
 _READY_SQL = {
@@ -468,9 +481,6 @@ def _two(label: Column, about: Column) -> Column:
     return F.array(option(F.lit("L"), F.lit("D")), option(label, about))
 
 
-_SPO = (F.col, "subject_label", "predicate_label", "object_label")
-
-
 def _spo() -> tuple[Column, Column, Column]:
     return F.col("subject_label"), F.col("predicate_label"), F.col("object_label")
 

@@ -31,7 +31,7 @@ def script() -> list[tuple[str, str, str | None]]:
     ]
 
 
-def replayed(spark: SparkSession, rounds: int = 7) -> DataFrame:
+def replayed(spark: SparkSession, rounds: int = 3) -> DataFrame:
     """The facts after ``rounds`` rounds."""
     store = Store(spark, f"{shared_dir(spark)}/factloom-replay-{uuid.uuid4().hex}")
     store.create()

@@ -14,7 +14,7 @@ from factloom.plans.replay import replayed
 from factloom.responder import CallResponder, ReplayResponder, check_roles, role_of
 from factloom.schema import TABLES
 from factloom.sources.store import Store
-from factloom.streaming.responses import stream_responses
+from factloom.streaming.responses import arrivals, stream_responses
 
 
 def store(spark, path) -> Store:
@@ -97,3 +97,14 @@ def test_roles():
         check_roles({"x": {}})
     with pytest.raises(ValueError, match="without"):
         check_roles({"elicitation": {}})
+
+
+def test_late_facts_are_left_out_of_windows(spark, tmp_path):
+    schema = "triple_id string, created_at timestamp"
+    for i, (ident, at) in enumerate([("T1", "2024-01-01 00:01:00"), ("T2", "2024-01-01 00:03:00"), ("T3", "2024-01-01 02:00:00"), ("T4", "2024-01-01 00:02:00"), ("T5", "2024-01-01 04:00:00")]):
+        row = spark.createDataFrame([(ident, at)], "triple_id string, t string").selectExpr("triple_id", "cast(t as timestamp) created_at")
+        row.coalesce(1).write.mode("append").parquet(str(tmp_path / "facts"))
+        query = arrivals(spark, str(tmp_path / "facts"), schema).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "check")).outputMode("append")
+        query.trigger(availableNow=True).start().awaitTermination()
+    got = {str(r["w"]): r["facts"] for r in spark.read.parquet(str(tmp_path / "out")).selectExpr("window.start w", "facts").collect()}
+    assert got["2024-01-01 00:00:00"] == 2  # T4 came after the watermark had passed
