@@ -31,7 +31,9 @@ KEYS = ["field_name", "subject", "object", "form"]
 
 
 def _labels(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "entity").select("label").unionByName(table(spark, root, "triple").select(F.col("object_label").alias("label")))
+    """Labels, and whether they are typed as names."""
+    objects = table(spark, root, "triple").select(F.col("object_label").alias("label"), (F.col("object_type") == "ne").alias("typed"))
+    return table(spark, root, "entity").select("label", F.lit(True).alias("typed")).unionByName(objects)
 
 
 def p2_found(spark: SparkSession, root: str) -> DataFrame:
