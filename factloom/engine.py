@@ -147,14 +147,8 @@ class Engine:
 
     def thinned(self, state: dict[str, DataFrame], rest: DataFrame) -> DataFrame:
         """Of labels that are alike the first; of frequent labels one fact a subject, else one in all."""
-        first_seen = F.min(num(F.col("triple_id"))).alias("idx")
-        labels = staged(vectors.embed(rest.groupBy("object_label").agg(first_seen), "object_label", self.embedder))
-        leaders = vectors.cluster_vectors(labels, self.limits.cluster_distance).filter("idx = cluster").select("idx")
-        chosen = labels.join(leaders, "idx").select("object_label")
-        frequent = reuse.ned_frequency(state["triple"], False).filter(F.col("n") > self.limits.reuse_more_than).select("object_label", F.lit(True).alias("__often"))
-        rows = rest.join(chosen, "object_label").join(frequent, "object_label", "left")
-        keyed = rows.withColumn("__subject", F.when(F.col("__often"), F.col("subject_id")))
-        return staged(rest.join(dedup.keep_first(keyed, ["object_label", "__subject"], "triple_id", True), "triple_id", "left_semi"))
+        first = reuse.thin_by_cluster(rest, state["triple"], self.embedder, self.limits.cluster_distance, self.limits.reuse_more_than)
+        return staged(rest.join(first, "triple_id", "left_semi"))
 
     def near(self, state: dict[str, DataFrame], queue: DataFrame, key: str, label: str, kind: str) -> DataFrame:
         """``key, candidate, position``: the nearest labels of a kind for the label of each item."""

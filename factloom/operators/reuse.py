@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from factloom.functions.ids import num
 from factloom.functions.parsing import trim_white
+from factloom.operators import dedup, vectors
+from factloom.runtime import staged
 
 
 def consistent_objects(facts: DataFrame, more_than: int = 50) -> DataFrame:
@@ -44,6 +46,19 @@ def thin(items: DataFrame, label: str, ident: str, known: DataFrame, threshold:
     return thin_by_label(items, label, ident, None if known.count() > threshold else prefix)
 
 
+def thin_by_cluster(rest: DataFrame, facts: DataFrame, embedder: vectors.Embedder, distance: float = 0.15, more_than: int = 50) -> DataFrame:
+    """``triple_id``: of object labels that are alike the first; of labels with more than so many disambiguated facts among
+    ``facts`` one fact a subject, else one in all."""
+    first_seen = F.min(num(F.col("triple_id"))).alias("idx")
+    labels = staged(vectors.embed(rest.groupBy("object_label").agg(first_seen), "object_label", embedder))
+    leaders = vectors.cluster_vectors(labels, distance).filter("idx = cluster").select("idx")
+    chosen = labels.join(leaders, "idx").select("object_label")
+    frequent = ned_frequency(facts, False).filter(F.col("n") > more_than).select("object_label", F.lit(True).alias("__often"))
+    rows = rest.join(chosen, "object_label").join(frequent, "object_label", "left")
+    keyed = rows.withColumn("__subject", F.when(F.col("__often"), F.col("subject_id")))
+    return dedup.keep_first(keyed, ["object_label", "__subject"], "triple_id", True)
+
+
 def totals(**tables: tuple[DataFrame, str]) -> DataFrame:
     """``table_name, n``: distinct keys of each table."""
     whole = None

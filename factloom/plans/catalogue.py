@@ -11,7 +11,7 @@ from factloom.functions import capacity, ids, parsing, prompts
 from factloom.operators import candidates, dedup, delta, outcomes, queues, reuse, upsert, vectors
 from factloom.operators.ingest import ingest
 from factloom.plans import skew
-from factloom.runtime import table
+from factloom.runtime import staged, table
 from factloom.schema import CONCEPT_STATUS, ENTITY_STATUS, JOBS, OBJECT_STATUS, OBJECT_TYPE, PREDICATE_STATUS, SIGNATURE, once, outside_domain
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -398,11 +398,14 @@ def cluster_labels(spark: SparkSession, root: str) -> DataFrame:
 
 @query("thin_by_cluster")
 def thin_by_cluster(spark: SparkSession, root: str) -> DataFrame:
-    """The first fact of each cluster of predicate labels; labels are embedded offline."""
-    facts = at(spark, root, "triple")
-    labels = vectors.embed(facts.groupBy("predicate_label").agg(F.min(ids.num(F.col("triple_id"))).alias("idx")), "predicate_label", vectors.HashEmbedder())
-    leaders = vectors.cluster_vectors(labels).filter("idx = cluster")
-    return leaders.select(F.concat(F.lit("T"), F.col("idx").cast("string")).alias("triple_id"))
+    """Facts of the NED1 queue that are asked: those no consistent object answers, thinned by clusters of their object
+    labels; labels are embedded offline."""
+    columns = ["triple_id", "subject_id", "predicate_label", "object_label", "object_type", "object_status", "object_id"]
+    facts = staged(once(table(spark, root, "triple").select(*columns), KEY["triple"]))
+    known = reuse.consistent_objects(facts).select("predicate_label", "object_label")
+    waiting = facts.filter(queues.ready_condition("ned1"))
+    rest = staged(waiting.join(known, ["predicate_label", "object_label"], "left_anti"))
+    return reuse.thin_by_cluster(rest, facts, vectors.HashEmbedder())
 
 
 # --- parsers: P0-P8 ---------------------------------------------------------------------------------------------

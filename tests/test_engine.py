@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from factloom.engine import Engine, Limits
 from factloom.operators.outcomes import apply_nedg
 from factloom.operators.vectors import HashEmbedder
+from factloom.plans.catalogue import queries
 from factloom.plans.replay import replayed
 from factloom.responder import CallResponder, ReplayResponder, check_roles, role_of
 from factloom.schema import TABLES
@@ -108,3 +109,18 @@ def test_late_facts_are_left_out_of_windows(spark, tmp_path):
         query.trigger(availableNow=True).start().awaitTermination()
     got = {str(r["w"]): r["facts"] for r in spark.read.parquet(str(tmp_path / "out")).selectExpr("window.start w", "facts").collect()}
     assert got["2024-01-01 00:00:00"] == 2  # T4 came after the watermark had passed
+
+
+def test_thin_by_cluster_runs_over_the_queue(spark, tmp_path):
+    def fact(number, subject, label, status="ner_finished", object_id=None, predicate="p", kind="ne"):
+        return {"triple_id": f"T{number}", "subject_id": subject, "predicate_label": predicate, "object_label": label, "object_type": kind, "object_status": status, "object_id": object_id}
+
+    rows = [fact(100 + i, f"E{i}", "Port Vell", "finished", f"E{i % 2}") for i in range(51)] + [fact(200 + i, f"E{i}", "Kelvin", "finished", "E9") for i in range(51)]
+    rows += [fact(10, "E1", "Port Vell"), fact(9, "E1", "Port Vell"), fact(11, "E2", "Port Vell"), fact(12, "E3", "PORT VELL")]  # frequent: one a subject, none of the other spelling
+    rows += [fact(20, "E1", "Zumba"), fact(21, "E2", "Zumba"), fact(22, "E2", "ZUMBA")]  # one in all
+    rows += [fact(30, "E1", "Kelvin"), fact(31, "E2", "Kelvin", predicate="q")]  # the first is answered from what is known
+    rows += [fact(40, "E1", "Quartz", kind="literal"), fact(41, "E1", "Quartz", "onned1")]  # not waiting
+    whole = [{f.name: r.get(f.name) for f in TABLES["triple"]} for r in rows]
+    spark.createDataFrame(whole, TABLES["triple"]).write.parquet(f"{tmp_path}/triple.parquet")
+    got = sorted(r["triple_id"] for r in queries()["thin_by_cluster"](spark, str(tmp_path)).collect())
+    assert got == ["T11", "T20", "T31", "T9"]
