@@ -25,8 +25,6 @@ def _records(spark: SparkSession, root: str) -> DataFrame:
     return facts.unionByName(typed)
 
 
-#: Neighbours of any similarity are spread over more cells than near ones.
-NEIGHBOUR_SLACK = 0.6
 KEYS = ["field_name", "subject", "object", "form"]
 
 
@@ -77,7 +75,7 @@ def p5_found(spark: SparkSession, root: str) -> DataFrame:
 
 def p5_neighbours(spark: SparkSession, root: str) -> DataFrame:
     """The five most similar vectors, however similar, of every hundredth index."""
-    found = neighbours.similar(table(spark, root, "label_vector"), 5, slack=NEIGHBOUR_SLACK, every=100)
+    found = neighbours.similar(table(spark, root, "label_vector"), 5, every=100)
     return found.select("kind", "index", "neighbour", "rank")
 
 

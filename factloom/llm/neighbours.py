@@ -2,9 +2,10 @@
 
 Method: inverted multi-index. The two halves of a vector are quantised separately; a cell is a pair of centroids. For a
 query, centroid pairs are traversed in the order of their summed distances with a heap until the sum exceeds the least
-one by ``slack``, and the entries of the visited cells are reranked by their exact similarity. There is no cap on visited
-cells or entries; cells are cut into blocks of bounded size, and queries visit them by a shuffle, so neither the index
-nor a cell has to fit into one task.
+one by ``slack``, and the entries of the visited cells are reranked by their exact similarity. Queries of one home cell
+share a traversal. ``slack`` is calibrated for each kind: sampled queries are compared with all entries, and it is what
+their true neighbours need. There is no cap on visited cells or entries; cells are cut into blocks of bounded size, and
+the queries that visit one into lots, so neither the index nor a cell has to fit into one task.
 """
 
 from __future__ import annotations
@@ -22,9 +23,14 @@ from factloom.runtime import staged
 #: Vectors of a kind that the centroids are fitted on at most (all vectors are indexed), and rounds of fitting.
 SAMPLE, ROUNDS = 20_000, 10
 #: Entries a cell should have on average; with it the number of centroids grows as the square root of the collection.
-CELL_ROWS, MOST_CENTROIDS = 8_192, 256
+CELL_ROWS, MOST_CENTROIDS = 512, 256
 #: Entries of a block, and queries that one block meets at once.
-BLOCK_ROWS, QUERY_ROWS, STEP = 4_096, 100_000, 2_048
+BLOCK_ROWS, QUERY_ROWS, STEP = 4_096, 65_536, 2_048
+#: Queries of a kind that ``slack`` is calibrated on, the share of their neighbours that must lie in visited cells, and the
+#: allowance for the error of that share.
+ASKED, REACHED, MARGIN = 512, 0.99, 1.15
+#: Indexes of one vector from which on its list is broadcast to them, and most such lists.
+HOT, MOST_HOT = 10_000, 100_000
 
 
 def fit(sample: np.ndarray, k: int, seed: int = 7) -> np.ndarray:
@@ -45,22 +51,29 @@ def distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return (x**2).sum(1)[:, None] - 2 * x @ centres.T + (centres**2).sum(1)
 
 
-def visited(first: np.ndarray, second: np.ndarray, slack: float) -> list[int]:
-    """Cells in the order of the summed distances of their two centroids, until the sum exceeds the least by ``slack``."""
-    by1, by2 = np.argsort(first, kind="stable").tolist(), np.argsort(second, kind="stable").tolist()
-    d1, d2, k = first.tolist(), second.tolist(), len(second)
-    most = d1[by1[0]] + d2[by2[0]] + slack
-    heap, out = [(d1[by1[0]] + d2[by2[0]], 0, 0)], []
+def visited(first: np.ndarray, second: np.ndarray, slack: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Cells and the queries that visit each: those for which the summed distance of its two centroids exceeds the least sum
+    by at most ``slack``.
+
+    ``first`` and ``second`` hold the distances of some queries, a row each, to the centroids of either half. Cells come in
+    the order of what the nearest of the queries is away; the rest is cut off by it.
+    """
+    first, second = first - first.min(axis=1, keepdims=True), second - second.min(axis=1, keepdims=True)
+    d1, d2 = first.min(axis=0), second.min(axis=0)
+    by1, by2 = np.argsort(d1, kind="stable").tolist(), np.argsort(d2, kind="stable").tolist()
+    d1, d2, k = d1.tolist(), d2.tolist(), len(by2)
+    heap = [(d1[by1[0]] + d2[by2[0]], 0, 0)]
     while heap:
         total, i, j = heapq.heappop(heap)
-        if total > most:
-            break
-        out.append(by1[i] * k + by2[j])
+        if total > slack:
+            return
+        rows = np.flatnonzero(first[:, by1[i]] + second[:, by2[j]] <= slack)
+        if len(rows):
+            yield by1[i] * k + by2[j], rows
         if i + 1 < len(by1) and j == 0:  # every pair is reached once: along the first centroid, then along the second
             heapq.heappush(heap, (d1[by1[i + 1]] + d2[by2[0]], i + 1, 0))
         if j + 1 < k:
             heapq.heappush(heap, (d1[by1[i]] + d2[by2[j + 1]], i, j + 1))
-    return out
 
 
 def matrix(column: pd.Series) -> np.ndarray:
@@ -90,12 +103,51 @@ def unit_vectors(df: DataFrame, kind: str, index: str, vector: str) -> DataFrame
     return one.mapInPandas(scale, "grp string, kind string, idx long, vec binary")
 
 
-def similar(df: DataFrame, k: int = 5, least: float = -1.0, slack: float = 0.09, every: int = 1, kind: str = "kind", index: str = "embedding_index", vector: str = "embedding") -> DataFrame:
+def _calibrated(placed: DataFrame, asking: DataFrame, centres: dict, sizes: dict, k: int, least: float) -> dict[str, float]:
+    """``slack`` for each group: what the true neighbours of sampled queries need to lie in visited cells."""
+    spark = placed.sparkSession
+    asked: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    for grp in sizes:
+        if len(centres[grp][0]) > 1:
+            some = asking.filter(F.col("grp") == grp).orderBy(F.xxhash64("idx", F.lit(5)), "idx").limit(ASKED).select("idx", "vec").toPandas()
+            asked[grp] = some["idx"].to_numpy(), matrix(some["vec"])
+    if not asked:
+        return {}
+    shared = spark.sparkContext.broadcast(asked)  # at most ASKED vectors a kind
+
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for grp, part in pdf[pdf["grp"].isin(list(shared.value))].groupby("grp"):
+                ids, q = shared.value[grp]
+                sims = q @ matrix(part["vec"]).T
+                sims[ids[:, None] == part["idx"].to_numpy()[None, :]] = -2
+                take = min(k, sims.shape[1])
+                top = np.argpartition(-sims, take - 1, axis=1)[:, :take]
+                row, col = np.nonzero(np.take_along_axis(sims, top, 1) >= max(least, -1.5))
+                at = top[row, col]
+                yield pd.DataFrame({"grp": grp, "q": row, "similarity": sims[row, at].astype(np.float64), "cell": part["cell"].to_numpy()[at]})
+
+    met = placed.mapInPandas(compare, "grp string, q int, similarity double, cell int")
+    best = Window.partitionBy("grp", "q").orderBy(F.desc("similarity"), "cell")
+    found = met.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= k).select("grp", "q", "cell").toPandas()  # at most ASKED * k rows a kind
+    slack = {}
+    for grp, part in found.groupby("grp"):
+        (c1, c2), q = centres[grp], asked[grp][1][part["q"].to_numpy()]
+        half, cell = c1.shape[1], part["cell"].to_numpy()
+        d1, d2 = distances(q[:, :half], c1), distances(q[:, half:], c2)
+        at = np.arange(len(q))
+        need = d1[at, cell // len(c2)] + d2[at, cell % len(c2)] - d1.min(axis=1) - d2.min(axis=1)
+        slack[grp] = float(np.quantile(need, REACHED)) * MARGIN
+    return slack
+
+
+def similar(df: DataFrame, k: int = 5, least: float = -1.0, slack: float | None = None, every: int = 1, kind: str = "kind", index: str = "embedding_index", vector: str = "embedding") -> DataFrame:
     """``kind, index, neighbour, rank, similarity``: the ``k`` most similar vectors of the same kind of each index.
 
     Cosine similarity of at least ``least``; ties go by the neighbour's index. ``every`` takes as queries the indexes
     divisible by it, against all. Vectors that are equal are one query and at most ``k + 1`` entries: no list of ``k``
-    can hold more of them. Recall depends on ``slack``; see README for measured values. An empty table gives no rows.
+    can hold more of them. Recall depends on ``slack``, calibrated if None; see README for measured values. An empty table
+    gives no rows.
     """
     spark = df.sparkSession
     units = staged(unit_vectors(df, kind, index, vector))
@@ -120,34 +172,63 @@ def similar(df: DataFrame, k: int = 5, least: float = -1.0, slack: float = 0.09,
                 cell = np.argmin(distances(x[:, :half], c1), axis=1) * len(c2) + np.argmin(distances(x[:, half:], c2), axis=1)
                 yield part.assign(cell=cell.astype(np.int32))[["grp", "idx", "vec", "cell"]]
 
+    placed = staged(entries.select("grp", "idx", "vec").mapInPandas(place, "grp string, idx long, vec binary, cell int"))
+    classes = staged(units.groupBy("grp", "vec").agg(F.min("idx").alias("idx"), F.max(F.col("idx") % every == 0).alias("asks"), F.count("*").alias("members")))
+    asking = classes.filter("asks").select("grp", "idx", "vec")
+    slacks = _calibrated(placed, asking, centres, sizes, k, least) if slack is None else dict.fromkeys(sizes, slack)
+
+    def visits(pdf: pd.DataFrame) -> Iterator[tuple[str, int, np.ndarray, pd.DataFrame]]:
+        for grp, part in pdf.groupby("grp"):
+            x, (c1, c2) = matrix(part["vec"]), shared.value[grp]
+            half = len(c1[0])
+            d1, d2 = distances(x[:, :half], c1), distances(x[:, half:], c2)
+            home = d1.argmin(axis=1) * len(c2) + d2.argmin(axis=1)
+            order = np.argsort(home, kind="stable")
+            for rows in np.split(order, np.flatnonzero(np.diff(home[order])) + 1):
+                for cell, those in visited(d1[rows], d2[rows], slacks.get(grp, 0.0)):
+                    yield grp, cell, rows[those], part
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            numbers: dict[tuple[str, int], int] = {}
+            for grp, cell, rows, _ in visits(pdf):
+                numbers[grp, cell] = numbers.get((grp, cell), 0) + len(rows)
+            yield pd.DataFrame([(*key, n) for key, n in numbers.items()], columns=["grp", "cell", "visits"])
+
     def visit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            for grp, part in pdf.groupby("grp"):
-                x, (c1, c2) = matrix(part["vec"]), shared.value[grp]
-                half = len(c1[0])
-                d1, d2 = distances(x[:, :half], c1), distances(x[:, half:], c2)
-                cells = [visited(a, b, slack) for a, b in zip(d1, d2)]
-                counts = [len(c) for c in cells]
-                yield pd.DataFrame({"grp": grp, "idx": np.repeat(part["idx"].to_numpy(), counts), "vec": np.repeat(part["vec"].to_numpy(), counts), "cell": np.concatenate(cells).astype(np.int32)})
+            those: dict[tuple[str, int], list[np.ndarray]] = {}
+            parts: dict[str, pd.DataFrame] = {}
+            for grp, cell, rows, part in visits(pdf):
+                those.setdefault((grp, cell), []).append(rows)
+                parts[grp] = part
+            arrays = {grp: (part["idx"].to_numpy(), matrix(part["vec"])) for grp, part in parts.items()}
+            out = []
+            for (grp, cell), rows in those.items():
+                ids, x = arrays[grp]
+                at = np.concatenate(rows)
+                out.append((grp, cell, ids[at].tobytes(), x[at].tobytes()))
+                if len(out) == 256:
+                    yield pd.DataFrame(out, columns=["grp", "cell", "ids", "vecs"])
+                    out = []
+            yield pd.DataFrame(out, columns=["grp", "cell", "ids", "vecs"])
 
-    placed = staged(entries.select("grp", "idx", "vec").mapInPandas(place, "grp string, idx long, vec binary, cell int"))
-    cells = placed.groupBy("grp", "cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    cells = F.broadcast(cells)  # at most MOST_CENTROIDS squared a kind
-    lots = F.create_map(*[F.lit(x) for g, n in sizes.items() for x in (g, -(-n // QUERY_ROWS))])
+    held = placed.groupBy("grp", "cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
+    wanted = asking.mapInPandas(count, "grp string, cell int, visits long").groupBy("grp", "cell").agg(F.ceil(F.sum("visits") / QUERY_ROWS).cast("int").alias("lots"))
+    cells = F.broadcast(staged(held.join(wanted, ["grp", "cell"])))  # at most MOST_CENTROIDS squared a kind
     blocked = (
         placed.join(cells, ["grp", "cell"])
         .withColumn("block", F.pmod(F.xxhash64("idx"), F.col("blocks")).cast("int"))
-        .withColumn("lot", F.explode(F.sequence(F.lit(0), lots[F.col("grp")] - 1)))
+        .withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)))
         .select("grp", "cell", "block", "lot", "idx", "vec")
     )
-    classes = units.groupBy("grp", "vec").agg(F.min("idx").alias("idx"), F.max(F.col("idx") % every == 0).alias("asks"), F.count("*").alias("members"))
-    asking = classes.filter("asks").select("grp", "idx", "vec")
+    # the queries of a batch that visit a cell travel as one row
     queries = (
-        asking.mapInPandas(visit, "grp string, idx long, vec binary, cell int")
+        asking.mapInPandas(visit, "grp string, cell int, ids binary, vecs binary")
         .join(cells, ["grp", "cell"])
+        .withColumn("lot", F.pmod(F.xxhash64("ids"), F.col("lots")).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("lot", F.pmod(F.xxhash64("idx", F.lit(1)), lots[F.col("grp")]).cast("int"))
-        .select("grp", "cell", "block", "lot", "idx", "vec")
+        .select("grp", "cell", "block", "lot", "ids", "vecs")
     )
     group = ["grp", "cell", "block", "lot"]
 
@@ -155,22 +236,25 @@ def similar(df: DataFrame, k: int = 5, least: float = -1.0, slack: float = 0.09,
         out = []
         if len(asked) and len(there):
             there = there.sort_values("idx")
-            e, ids, q_ids = matrix(there["vec"]), there["idx"].to_numpy(), asked["idx"].to_numpy()
-            q = matrix(asked["vec"])
+            e, ids = matrix(there["vec"]), there["idx"].to_numpy()
+            q_ids = np.frombuffer(b"".join(asked["ids"]), dtype=np.int64)
+            q = np.frombuffer(b"".join(asked["vecs"]), dtype=np.float32).reshape(len(q_ids), -1)
             take = min(k + 1, len(ids))
             for i in range(0, len(q), STEP):
                 sims = q[i : i + STEP] @ e.T
+                near = sims >= least - 1e-6
                 if take < len(ids):
-                    floor = -np.partition(-sims, take - 1, axis=1)[:, take - 1 : take]
-                    row, col = np.nonzero((sims >= floor) & (sims >= least - 1e-6))
-                else:
-                    row, col = np.nonzero(sims >= least - 1e-6)
+                    full = np.flatnonzero(near.sum(axis=1) > take)  # only where more than fit are near enough
+                    if len(full):
+                        near[full] &= sims[full] >= -np.partition(-sims[full], take - 1, axis=1)[:, take - 1 : take]
+                row, col = np.nonzero(near)
                 exact = np.einsum("ij,ij->i", q[i + row].astype(np.float64), e[col].astype(np.float64))
                 order = np.lexsort((ids[col], -exact, row))
                 row, col, exact = row[order], col[order], exact[order]
                 nth = np.arange(len(row)) - np.searchsorted(row, row)
                 keep = (nth < take) & (exact >= least)
-                out.append(pd.DataFrame({"grp": asked["grp"].iat[0], "idx": q_ids[i + row[keep]], "neighbour": ids[col[keep]], "similarity": exact[keep]}))
+                if keep.any():
+                    out.append(pd.DataFrame({"grp": asked["grp"].iat[0], "idx": q_ids[i + row[keep]], "neighbour": ids[col[keep]], "similarity": exact[keep]}))
         return pd.concat(out) if out else pd.DataFrame({"grp": [], "idx": [], "neighbour": [], "similarity": []}).astype({"grp": str, "idx": "int64", "neighbour": "int64"})
 
     found = queries.groupBy(*group).cogroup(blocked.groupBy(*group)).applyInPandas(rerank, "grp string, idx long, neighbour long, similarity double")
@@ -179,10 +263,15 @@ def similar(df: DataFrame, k: int = 5, least: float = -1.0, slack: float = 0.09,
     lists = staged(lists)
     # each member of a class of equal vectors has the class's list without itself
     single = lists.join(classes.filter("members = 1 and asks").select("grp", "idx"), ["grp", "idx"], "left_semi").withColumn("member", F.col("idx"))
-    shared_classes = classes.filter("members > 1 and asks").select("grp", "vec", F.col("idx").alias("rep"))
-    members = units.join(shared_classes, ["grp", "vec"]).filter(F.col("idx") % every == 0).select("grp", F.col("rep").alias("idx"), F.col("idx").alias("member"))
-    several = lists.join(members, ["grp", "idx"])
-    each = single.unionByName(several).filter(F.col("member") != F.col("neighbour"))
+    several = classes.filter("members > 1 and asks").join(lists, ["grp", "idx"]).groupBy("grp", "vec", "members").agg(F.collect_list(F.struct("neighbour", "similarity")).alias("near"))
+    those = units.filter(F.col("idx") % every == 0).select("grp", "vec", F.col("idx").alias("member"))
+    hot = several.filter(F.col("members") > HOT).drop("members")
+    if sum(sizes.values()) / HOT <= MOST_HOT:  # there can't be more of them
+        hot = F.broadcast(hot)
+    rest = several.filter(F.col("members") <= HOT).drop("members")
+    shared_lists = those.join(hot, ["grp", "vec"]).unionByName(those.join(hot.select("grp", "vec"), ["grp", "vec"], "left_anti").join(rest, ["grp", "vec"]))
+    shared_lists = shared_lists.select("grp", "member", F.explode("near").alias("near")).select("grp", "member", "near.*")
+    each = single.select("grp", "member", "neighbour", "similarity").unionByName(shared_lists).filter(F.col("member") != F.col("neighbour"))
     own = Window.partitionBy("grp", "member").orderBy(F.desc("similarity"), "neighbour")
     ranked = each.withColumn("rank", F.row_number().over(own)).filter(F.col("rank") <= k)
     return ranked.select(F.regexp_replace("grp", r"^\d+/", "").alias("kind"), F.col("member").alias("index"), "neighbour", "rank", "similarity")

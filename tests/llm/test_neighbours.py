@@ -34,11 +34,15 @@ def lists(df):
 
 def test_visits_cells_by_summed_distance():
     rng = np.random.default_rng(0)
-    a, b = rng.random(7), rng.random(5)
-    order = sorted((a[i] + b[j], i * 5 + j) for i in range(7) for j in range(5))
-    got = neighbours.visited(a, b, 0.4)
-    assert got == [c for s, c in order if s <= order[0][0] + 0.4]
-    assert len(neighbours.visited(a, b, 9)) == 35
+    a, b = rng.random((6, 7)), rng.random((6, 5))
+    sums = (a[:, :, None] + b[:, None, :]).reshape(6, -1)
+    want = {(c, q) for q in range(6) for c in range(35) if sums[q, c] <= sums[q].min() + 0.4}
+    got = [(cell, rows.tolist()) for cell, rows in neighbours.visited(a, b, 0.4)]
+    assert {(c, q) for c, rows in got for q in rows} == want and len({c for c, _ in got}) == len(got)
+    # one query: cells in the order of its sums
+    alone = [cell for cell, _ in neighbours.visited(a[:1], b[:1], 0.4)]
+    assert alone == [c for c in np.argsort(sums[0], kind="stable").tolist() if sums[0, c] <= sums[0].min() + 0.4]
+    assert len(list(neighbours.visited(a, b, 9))) == 35
 
 
 def test_equal_vectors_share_a_list(spark):
@@ -59,6 +63,25 @@ def test_recall(spark, n):
     assert len(got & want) >= 0.97 * len(want) and len(got - want) <= 0.01 * len(want)
 
 
+def test_recall_over_many_cells(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    n = 4_000
+    x = np.repeat(rng.normal(size=(n // 5, 16)), 5, axis=0) + rng.normal(size=(n, 16)) * 0.15
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 15)  # 16 centroids a half
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 200)  # several lots a cell
+    want = {(i, j) for i, js in brute(x, 5, 0.85).items() for j in js}
+    got = {(i, j) for i, js in lists(neighbours.similar(frame(spark, x), 5, 0.85)).items() for j in js}
+    assert len(got & want) >= 0.97 * len(want) and len(got - want) <= 0.01 * len(want)
+
+
+def test_a_vector_of_most_indexes(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "HOT", 10)
+    x = np.random.default_rng(7).normal(size=(40, 6))
+    x[3:33] = x[3]
+    x[35:37] = x[35]
+    assert lists(neighbours.similar(frame(spark, x), 4, slack=9)) == brute(x, 4)
+
+
 def test_dirty_rows(spark):
     x = [[1, 0], [1, 0.1], [0, 0], None, [float("nan"), 1], [3, 0.2], [1, 0, 0]]
     df = frame(spark, x).unionByName(frame(spark, x)).unionByName(spark.createDataFrame([(None, 1, [1.0, 0.0], "", 1), ("e", None, [1.0, 0.0], "", 1), ("f", 1, [1.0, 0.0], "", 1)], SCHEMA))
