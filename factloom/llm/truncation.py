@@ -1,7 +1,9 @@
 """Texts that were cut before their end.
 
-The method named for this problem, a self-join by prefix, finds a cut text where a longer copy of it is in the corpus.
-Few cut texts here have such a copy, so it is applied to the ends of texts too: see ``truncated``.
+Method: self-joins by prefix over the ends of texts. The last lines of texts are sorted together with all lines of the corpus: one
+that is a strict prefix of a longer line and no line itself goes on elsewhere. Last tokens are joined with all tokens by
+a hashed prefix. Whether the form of a text allows it to end there is checked after, and decides alone where the corpus
+holds no longer copy. Whole texts are not joined: see README.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.runtime import staged
@@ -40,22 +42,23 @@ HEADS = {
 HEADS = {k: [re.compile(x) for x in v] for k, v in HEADS.items()}
 SNIFF = (("mail_archive", "From "), ("forge_dump", "commit "), ("webhook_log", "event:"), ("review_export", "# "))
 WHOLE, CUT, ASK = 0, 1, 2
+DIGITS = str.maketrans("123456789", "0" * 9)
 #: Words, parts of joined identifiers, numbers, single marks, line ends.
 TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+|[^\W\d_]+|_|\n|[^\s\w]")
-#: A text that ends in a token was cut if longer tokens beginning with it occur LEAST_LONGER times and it nearly never does
-#: (inside a word), or if it occurs LEAST_INNER times and nearly never at a line's end (inside a line).
-LEAST_LONGER, LEAST_INNER = 10, 100
-MOST_OWN, MOST_ENDS = 0.01, 0.0005
+#: A text that ends in a token was cut if longer tokens beginning with it occur and it nearly never does (inside a word), or if
+#: it occurs and nearly never at a line's end (inside a line): the share seen, and the share that confidence Z leaves possible.
+Z = 1.64
+MOST_OWN, MAYBE_OWN, MOST_ENDS, MAYBE_ENDS = 0.01, 0.22, 0.0005, 0.027
 #: The same after the token before it, for the last lines of diffs.
-PAIR_LONGER, PAIR_INNER = 50, 200
-PAIR_OWN, PAIR_ENDS = 0.005, 0.002
+PAIR_OWN, PAIR_MAYBE_OWN, PAIR_ENDS, PAIR_MAYBE_ENDS = 0.005, 0.052, 0.002, 0.0134
+#: Last lines of so many characters or more are looked for among all lines; shorter ones begin many lines by chance.
+LINE_PREFIX = 12
 #: Lines of encoded bytes, whose tokens say nothing.
 BYTES = re.compile(r"(?m)^[ \t]*z\S{60,}\r?$")
 #: Tokens are joined by the hash of a prefix of this length, shorter ones by their own.
 PREFIX = 3
 
 
-
 def layout_of(text: str, source: str | None) -> str:
     """The layout a text is in, by its source or, where that isn't known, by how it begins."""
     if source in HEADS or source == "bundle_import":
@@ -148,7 +151,7 @@ def diff_state(lines: list[str], svn: bool) -> tuple[int, str]:
 def end_state(text: str, source: str | None) -> tuple[int, str, str]:
     """WHOLE, CUT or ASK with why and, for ASK, the last line: only a look at other texts can tell whether it was cut."""
     layout = layout_of(text, source)
-    flat = text.replace("\r\n", "\n").replace("\r\n", "\n")
+    flat = text.replace("\r\n", "\n")
     if layout == "mail_archive":
         return (WHOLE, "footer", "") if MAIL_END.search(flat.replace("\r", "")) else (CUT, "no footer", "")
     lines = flat.split("\n")
@@ -234,14 +237,14 @@ def tokens_of(text: str) -> list[str]:
 
 
 def _states(df: DataFrame, ident: str, text: str, source: str) -> DataFrame:
-    """State of each text and, where a look at other texts is needed, its last token."""
+    """State of each text and, where it may have been cut, its last line and its last token after the one before it."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             rows = []
             for d, t, s in zip(pdf["__id"], pdf["__text"], pdf["__source"]):
                 state, why, last = end_state(t, s)
-                before = token = None
+                before = token = line = None
                 if state == ASK and why == "prose":
                     state = CUT  # a sentence that nothing ends
                 elif state == ASK:
@@ -255,13 +258,33 @@ def _states(df: DataFrame, ident: str, text: str, source: str) -> DataFrame:
                             before = tail[-2].lower() if len(tail) > 1 else "\n"
                 elif why == "indent" and t.endswith("\n"):
                     state = WHOLE
-                rows.append((d, s, state, why, before, token))
-            yield pd.DataFrame(rows, columns=["ident", "source", "state", "why", "before", "token"])
+                if state == CUT:
+                    line = t[t.rfind("\n") + 1 :].rstrip("\r").translate(DIGITS)
+                    line = line if len(line) >= LINE_PREFIX else None
+                    if not t[-1].isspace() and (tail := tokens_of(t[t.rfind("\n") + 1 :][-200:])):  # what its last token says
+                        token, before = tail[-1].lower(), tail[-2].lower() if len(tail) > 1 else "\n"
+                rows.append((d, s, state, why, before, token, line))
+            yield pd.DataFrame(rows, columns=["ident", "source", "state", "why", "before", "token", "line"])
 
     kind = df.schema[ident].dataType.simpleString()
     there = df.select(F.col(ident).alias("__id"), F.col(text).cast("string").alias("__text"), F.col(source).cast("string").alias("__source"))
     # null, empty and blank texts were not cut
-    return there.filter(F.col("__text").rlike(r"\S")).mapInPandas(run, f"ident {kind}, source string, state int, why string, before string, token string")
+    return there.filter(F.col("__text").rlike(r"\S")).mapInPandas(run, f"ident {kind}, source string, state int, why string, before string, token string, line string")
+
+
+def _going_on(ends: DataFrame, df: DataFrame, text: str) -> DataFrame:
+    """``line``: those of ``ends`` (column ``line``) that are strict prefixes of lines in the texts and no lines themselves.
+
+    All are sorted together by their first LINE_PREFIX characters and then whole, each line once: the strict prefix of any stands
+    right before one that goes on from it. Digits count as 0. The last line of each text doesn't count, as it may be cut.
+    """
+    flat = F.translate(F.regexp_replace(F.col(text).cast("string"), "\r", ""), "123456789", "000000000")
+    rows = df.select(F.split(flat, "\n").alias("l")).select(F.explode(F.slice("l", F.lit(1), F.size("l") - 1)).alias("line"))
+    lines = rows.filter(F.length("line") >= LINE_PREFIX).select("line", F.lit(True).alias("there"))
+    each = lines.unionByName(ends.select("line", F.lit(False).alias("there"))).groupBy("line").agg(F.max("there").alias("there"))
+    order = Window.partitionBy(F.substring("line", 1, LINE_PREFIX)).orderBy("line")
+    after = each.withColumn("next", F.lead("line").over(order))
+    return after.filter(~F.col("there") & F.startswith("next", F.col("line"))).select("line")
 
 
 def _counts(df: DataFrame, text: str) -> DataFrame:
@@ -313,31 +336,41 @@ def _evidence(tails: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _judged(evidence: DataFrame, keys: list[str], name: str, longer: int, inner: int, own: float, ends: float) -> DataFrame:
+def _at_most(share: float, maybe: float, n: Column, of: Column) -> Column:
+    """Whether ``n`` of ``of`` are at most a share, and with confidence at most another."""
+    m = F.greatest(of, F.lit(1))
+    p = n / m
+    upper = (p + Z * Z / (2 * m) + Z * F.sqrt(p * (1 - p) / m + Z * Z / (4 * m * m))) / (1 + Z * Z / m)
+    return (of > 0) & (p <= share) & (upper <= maybe)
+
+
+def _judged(evidence: DataFrame, keys: list[str], name: str, own: float, maybe_own: float, ends: float, maybe_ends: float) -> DataFrame:
     all_own = F.col("ends") + F.col("goes")
-    inside_word = (F.col("longer") >= longer) & (all_own <= own * F.col("longer"))
-    inside_line = (F.col("goes") >= inner) & (F.col("ends") <= ends * all_own)
+    inside_word = (F.col("longer") > 0) & _at_most(own, maybe_own, all_own, all_own + F.col("longer"))
+    inside_line = (F.col("goes") > 0) & _at_most(ends, maybe_ends, F.col("ends"), all_own)
     return evidence.select(*keys, F.when(inside_word, F.lit("inside a word")).when(inside_line, F.lit("inside a line")).alias(name)).dropna(subset=[name])
 
 
 def truncated(df: DataFrame, ident: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``ident, source, cut, why`` of each text with content, ``cut`` being whether it was cut before its end.
 
-    The layout of a text says what must follow: hunk headers say how many lines, svn headers how long the message is,
-    mails and exports have an end mark, sentences a stop. Where only the last line may be incomplete, its last token is
-    joined with the tokens of the whole corpus by a hashed prefix of fixed length: a strict prefix of longer tokens that
-    is no token itself was cut, and so was a line that ends where lines never end. In diffs the same is asked of the last
-    token after the one before it. Null, empty and blank texts give no
-    row; texts of no known layout are taken as messages; rows repeated give repeated rows.
+    ``why`` says how it was found. "line goes on": its last line is a strict prefix of a longer line elsewhere and no line
+    itself. "inside a word": its last token is a strict prefix of longer tokens and nearly never a token itself; "inside a line": lines
+    nearly never end in it; in diffs the same is asked of the last token after the one before it. Anything else: only the form of
+    the text, by which hunk headers say how many lines follow, svn headers how long the message is, mails and exports have an end
+    mark, sentences a stop. The form also rejects what the corpus suggests: a text whose form is complete is whole, and of
+    one whose last line alone may be cut only tokens decide. Null, empty and blank texts give no row; texts of no known
+    layout are taken as messages; rows repeated give repeated rows.
     """
     states = staged(_states(df, ident, text, source))
     pairs = staged(_counts(df, text))
     tokens = pairs.groupBy("token").agg(F.sum("ends").alias("ends"), F.sum("goes").alias("goes"))
     tails = states.filter("token is not null")
-    alone = _judged(_evidence(tails.select("token").distinct(), tokens, ["token"]), ["token"], "alone", LEAST_LONGER, LEAST_INNER, MOST_OWN, MOST_ENDS)
+    alone = _judged(_evidence(tails.select("token").distinct(), tokens, ["token"]), ["token"], "alone", MOST_OWN, MAYBE_OWN, MOST_ENDS, MAYBE_ENDS)
     keys = ["before", "token"]
-    after = _judged(_evidence(tails.filter("before is not null").select(*keys).distinct(), pairs, keys), keys, "after", PAIR_LONGER, PAIR_INNER, PAIR_OWN, PAIR_ENDS)
-    out = states.join(alone, "token", "left").join(after, keys, "left").withColumn("tail", F.coalesce("alone", "after"))
+    after = _judged(_evidence(tails.filter("before is not null").select(*keys).distinct(), pairs, keys), keys, "after", PAIR_OWN, PAIR_MAYBE_OWN, PAIR_ENDS, PAIR_MAYBE_ENDS)
+    going = _going_on(states.select("line").dropna().distinct(), df, text).withColumn("line_why", F.lit("line goes on"))
+    out = states.join(alone, "token", "left").join(after, keys, "left").join(going, "line", "left").withColumn("tail", F.coalesce("line_why", "alone", "after"))
     return out.select(
         F.col("ident").alias(ident),
         "source",

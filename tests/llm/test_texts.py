@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from factloom.llm import leakage, tokenize, truncation
 
@@ -146,3 +147,19 @@ def test_very_long_text(spark):
     text = HEAD + "    " + "word " * 200_000 + "end.\n"
     df = spark.createDataFrame([(1, text, "forge_dump")], "doc_id long, text string, source string")
     assert [r["cut"] for r in truncation.truncated(df).collect()] == [False]
+
+
+def test_a_last_line_that_goes_on_elsewhere(spark):
+    head = "From " + "0" * 39 + "1\nFrom: a <a@b.c>\nDate: 2020-01-01T00:00:00\nSubject: x\n\n"
+    whole = head + "The queue is drained by worker 12 now.\n-- \n2.1.0\n"
+    texts = [whole, head + "The queue is drained by wor", head + "The queue is drained by worker 7 now.", whole, None, "", " \n"]
+    df = spark.createDataFrame([(i, t, "mail_archive") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = {r["doc_id"]: (r["cut"], r["why"]) for r in truncation.truncated(df).collect()}
+    # the second is a strict prefix of a line; the third a line of its own whose text lacks the end mark
+    assert got[1] == (True, "line goes on") and got[2] == (True, "no footer")
+    assert got[0] == got[3] == (False, "whole") and set(got) == {0, 1, 2, 3}
+
+
+def test_confidence_of_shares(spark):
+    df = spark.createDataFrame([(0, 1), (0, 20), (2, 20), (0, 0)], "n long, of long")
+    assert [r[0] for r in df.select(truncation._at_most(0.01, 0.22, F.col("n"), F.col("of"))).collect()] == [False, True, False, False]
