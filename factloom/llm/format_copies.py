@@ -87,8 +87,8 @@ def runs(records: DataFrame, keys: list[str], num: str, singles: bool = True) ->
                 count += len(more)
                 held += more
                 if len(held) > 1 << 16:  # bounded: a long run goes out in pieces, all with the run's first number
-                    yield frame(key_now, held, first_num, (1 if lead else 0) + 2)
-                    held = []
+                    yield frame(key_now, held[:-1], first_num, 1 if lead else 0)
+                    held = held[-1:]  # the end of the partition may come next, and is one row's to tell
             if len(starts):
                 if key_now is not None:
                     yield from close(False)
