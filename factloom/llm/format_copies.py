@@ -46,7 +46,8 @@ def runs(records: DataFrame, keys: list[str], num: str, singles: bool = True) ->
     column must be a string. An empty table gives no rows.
     """
     spark = records.sparkSession
-    whole = records.select(*keys, F.col(num).cast("long").alias("__num")).dropna()
+    # written once, as the range partitioning reads its input twice and keys are costly to make
+    whole = staged(records.select(*keys, F.col(num).cast("long").alias("__num")).dropna())
     # the key columns of the sort are the full keys: a hash would only move the comparison
     ordered = whole.repartitionByRange(parallelism(spark), *keys, "__num").sortWithinPartitions(*keys, "__num")
     schema = ", ".join([*(f"`{k}` string" for k in keys), "__part int, __edge int, first_num long, copy_num long"])
