@@ -21,6 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factloom.runtime import staged
+
 SPAN, GRAM = 12, 6
 WINDOW = SPAN - GRAM + 1
 #: Runs of letters or digits.
@@ -142,7 +144,7 @@ def hits(corpus: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text:
     Null and empty texts and texts without words have no hits. Rows repeated give the same hits again.
     """
     spark = corpus.sparkSession
-    prints = _fingerprints(items, item_id, item_text, None, None).distinct()
+    prints = staged(_fingerprints(items, item_id, item_text, None, None).distinct())  # used three times
     size = prints.count()
     slot = F.shiftrightunsigned("hash", 64 - SLOT_BITS)
     slots: dict[int, np.ndarray] = {}
