@@ -25,14 +25,16 @@ def parallelism(spark: SparkSession) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share.
 
-    It is ``spark.checkpoint.dir`` where the session has one; only where it is unset (tests, one machine) is a
-    temporary folder made.
+    It is ``spark.checkpoint.dir`` where the session has one. Where it is unset, a temporary folder is made on one machine; a
+    cluster, whose executors wouldn't share it, raises.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if named is None:
         named = sc.getCheckpointDir()
     if named is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="factloom-")
         atexit.register(shutil.rmtree, named, True)
         sc.setCheckpointDir(named)
@@ -42,16 +44,35 @@ def shared_dir(spark: SparkSession) -> str:
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read back.
 
-    Cuts the lineage with files that outlive a lost executor. The files go when the program ends.
+    Cuts the lineage with files that outlive a lost executor. The files go with ``free``, or when the program ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/factloom-stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
+    _paths.append(path)
+    if len(_paths) == 1:
+        atexit.register(free, spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+#: Staged tables that are still there.
+_paths: list[str] = []
+
+
+def mark() -> int:
+    """The staged tables there are, to be given to ``free``."""
+    return len(_paths)
+
+
+def free(spark: SparkSession, since: int = 0) -> None:
+    """Remove the tables staged after ``mark`` gave ``since``; nothing may read them any more."""
+    gone, _paths[since:] = _paths[since:], []
+    for path in gone:
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
     try:
         jvm = spark.sparkContext._jvm
         at = jvm.org.apache.hadoop.fs.Path(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,12 +19,14 @@ def stream_responses(
     """Apply the answers in ``folder`` to the store, file by file, each micro-batch once.
 
     ``apply(state, responses)`` gives the Delta. The batch's number is recorded in the snapshot with its changes, so one
-    that is given again after a crash changes nothing.
+    that is given again after a crash changes nothing. Numbers count from 0 in each checkpoint folder, so they are recorded with
+    the id that the folder holds: a new folder's batches are new.
     """
     lines = spark.readStream.format("text").option("maxFilesPerTrigger", files_per_trigger).load(folder)
 
     def each(batch: DataFrame, number: int) -> None:
-        name = f"{stage}/{number}"
+        ident = json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()[0])["id"]
+        name = f"{stage}/{ident}/{number}"
         if not store.was_applied(name):
             store.apply(apply(store.state(), responses(batch)), name)
 
