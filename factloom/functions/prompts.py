@@ -79,15 +79,28 @@ def cdg(obj: Column) -> Column:
     return text("Class: ", obj)
 
 
+#: Forms of answers: the facts of an elicitation strictly as their schema says, an object, or text.
+_TEXT = {"type": "string"}
+_FACT = {"type": "object", "properties": {"subject": _TEXT, "predicate": _TEXT, "object": _TEXT}, "required": ["subject", "predicate", "object"], "additionalProperties": False}
+_FACTS = {"type": "object", "properties": {"facts": {"type": "array", "items": _FACT}}, "required": ["facts"], "additionalProperties": False}
+FORMS = {"elicitation": {"type": "json_schema", "name": "facts", "strict": True, "schema": _FACTS}, "ner": {"type": "json_object"}}
+
+
+def literal(value: object) -> Column:
+    """A Python value as a column: dictionaries as structs, lists as arrays."""
+    if isinstance(value, dict):
+        return F.struct(*[literal(v).alias(k) for k, v in value.items()])
+    return F.array(*[literal(v) for v in value]) if isinstance(value, list) else F.lit(value)
+
+
 def request(stage: str, ident: Column, user: Column, model: str = "model") -> Column:
     """One request line as JSON."""
     tokens, effort, temperature = LIMITS[stage]
-    kind = {"elicitation": "json_schema", "ner": "json_object"}.get(stage, "text")
     body = [
         F.lit(model).alias("model"),
         F.array(F.struct(F.lit("developer").alias("role"), F.lit(SYSTEM[stage]).alias("content")), F.struct(F.lit("user").alias("role"), user.alias("content"))).alias("input"),
         F.struct(F.lit(effort).alias("effort")).alias("reasoning"),
-        F.struct(F.lit("low").alias("verbosity"), F.struct(F.lit(kind).alias("type")).alias("format")).alias("text"),
+        F.struct(F.lit("low").alias("verbosity"), literal(FORMS.get(stage, {"type": "text"})).alias("format")).alias("text"),
         F.lit(tokens).alias("max_output_tokens"),
     ]
     if temperature is not None:
@@ -95,16 +108,27 @@ def request(stage: str, ident: Column, user: Column, model: str = "model") -> Co
     return F.to_json(F.struct(ident.alias("custom_id"), F.lit("POST").alias("method"), F.lit("/v1/responses").alias("url"), F.struct(*body).alias("body")))
 
 
-def chat_request(line: Column, merge_system: bool = False, **overrides: str | int | float) -> Column:
-    """A request line as a chat request: developers become systems, or, merged, the beginning of the first user message."""
-    read = F.from_json(line, "custom_id string, body struct<model:string,input:array<struct<role:string,content:string>>,max_output_tokens:int,temperature:double,text:struct<format:struct<type:string>>>")
+def chat_request(line: Column, merge_system: bool = False, structured: bool = True, extra: dict | None = None, **overrides: str | int | float) -> Column:
+    """A request line as a chat request: developers become systems, or, merged, the beginning of the first user message, which is
+    added where there is none.
+
+    ``structured`` keeps the form of the answer, a schema with its keys in alphabetical order; ``extra`` are further fields of the body.
+    """
+    read = F.from_json(line, "custom_id string, body struct<model:string,input:array<struct<role:string,content:string>>,max_output_tokens:int,temperature:double,text:struct<format:struct<type:string,name:string,strict:boolean>>>")
     messages = F.transform(read["body"]["input"], lambda m: F.struct(F.when(m["role"] == "developer", "system").otherwise(m["role"]).alias("role"), m["content"].alias("content")))
     if merge_system:
         systems = F.array_join(F.transform(F.filter(messages, lambda m: m["role"] == "system"), lambda m: m["content"]), "\n\n")
         rest = F.filter(messages, lambda m: m["role"] != "system")
-        messages = F.transform(rest, lambda m, i: F.struct(m["role"].alias("role"), F.when((i == 0) & (systems != ""), F.concat(systems, F.lit("\n\n"), m["content"])).otherwise(m["content"]).alias("content")))
+        first = F.array_position(F.transform(rest, lambda m: m["role"]), "user") - 1
+        merged = F.transform(rest, lambda m, i: F.struct(m["role"].alias("role"), F.when(i == first, F.concat(systems, F.lit("\n\n"), m["content"])).otherwise(m["content"]).alias("content")))
+        alone = F.array(F.struct(F.lit("user").alias("role"), systems.alias("content")))
+        messages = F.when(systems == "", rest).when(first < 0, F.concat(alone, rest)).otherwise(merged)
     fields = {"model": read["body"]["model"], "messages": messages, "max_tokens": read["body"]["max_output_tokens"], "temperature": read["body"]["temperature"]}
-    fields["response_format"] = F.when(read["body"]["text"]["format"]["type"] != "text", F.struct(read["body"]["text"]["format"]["type"].alias("type")))
-    fields |= {k: F.lit(v) for k, v in overrides.items()}
+    if structured:
+        form = read["body"]["text"]["format"]
+        schema = F.try_parse_json(F.get_json_object(line, "$.body.text.format.schema"))
+        named = F.when(form["type"] == "json_schema", F.struct(form["name"].alias("name"), schema.alias("schema"), F.coalesce(form["strict"], F.lit(False)).alias("strict")))
+        fields["response_format"] = F.when(form["type"].isin("json_schema", "json_object"), F.struct(form["type"].alias("type"), named.alias("json_schema")))
+    fields |= {k: F.lit(v) for k, v in overrides.items()} | {k: literal(v) for k, v in (extra or {}).items()}
     body = F.struct(*[c.alias(k) for k, c in fields.items()])
     return F.to_json(F.struct(read["custom_id"].alias("custom_id"), F.lit("POST").alias("method"), F.lit("/v1/chat/completions").alias("url"), body.alias("body")))

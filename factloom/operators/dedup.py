@@ -28,8 +28,8 @@ def keep_first(rows: DataFrame, keys: list[str], ident: str, by_number: bool = F
 
 def resolve(rows: DataFrame, table: DataFrame, keys: list[str], ident: str, null_safe: set[str] = frozenset(), by_number: bool = False) -> DataFrame:
     """``rows`` with ``is_duplicate``: another row of ``table`` has its keys already, or an earlier one of ``rows`` has."""
-    there = table.select(*keys).distinct()
-    taken = rows.alias("r").join(there.alias("t"), same("r", "t", keys, null_safe), "left_semi").select(F.col(f"r.{ident}").alias(ident)).distinct()
+    # a semi join needs no distinct right side: the table is shuffled once at most, and not at all where the rows are few
+    taken = rows.alias("r").join(table.select(*keys).alias("t"), same("r", "t", keys, null_safe), "left_semi").select(F.col(f"r.{ident}").alias(ident)).distinct()
     first = keep_first(rows, keys, ident, by_number)
     marked = rows.join(taken.withColumn("__taken", F.lit(True)), ident, "left").join(first.withColumn("__first", F.lit(True)), ident, "left")
     return marked.withColumn("is_duplicate", F.col("__taken").isNotNull() | F.col("__first").isNull()).drop("__taken", "__first")

@@ -5,15 +5,15 @@ Outcomes have ``triple_id`` (or ``original_triple_id``), ``outcome`` (pick, none
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.operators.dedup import resolve_picks
+from factloom.operators.dedup import keep_first, resolve_picks, same
 from factloom.operators.delta import Delta
 from factloom.operators.ingest import class_facts
 from factloom.operators.upsert import upsert_pairs
 from factloom.runtime import staged
-from factloom.schema import UNSURE
+from factloom.schema import SIGNATURE, UNSURE
 
 State = dict[str, DataFrame]
 TRIPLE, CLASS = "triple_id", "original_triple_id"
@@ -61,18 +61,32 @@ def apply_ned2(state: State, outcomes: DataFrame) -> Delta:
     """none makes an entity of the label and description, or takes the one that is there; its fact goes if its signature is
     there already (a null never matches). Picks follow, against the facts with those changes. A failure goes back."""
     o = F.col("outcome")
-    fresh = outcomes.filter(o == "none").select(TRIPLE).join(state["triple"], TRIPLE)
-    ids, rows = upsert_pairs(fresh.select(TRIPLE, F.col("object_label").alias("label"), F.col("object_description").alias("description")), state["entity"], "E")
-    added = rows.select("id", F.lit("unexplored").alias("status"), "description", "label", "embedding_index", "first_appeared", F.lit(None).cast("string").alias("explored_batch_id"), F.current_timestamp().alias("created_at"))
-    marked = resolve_picks(fresh.drop("object_id").join(ids.withColumnRenamed("id", "object_id"), TRIPLE), state["triple"], null_safe=False)
-    marked = staged(marked.select(TRIPLE, "object_id", "is_duplicate"))
-    first = Delta(updates={"triple": [_set(marked.filter(~F.col("is_duplicate")), TRIPLE, object_id=F.col("object_id"), object_status="finished")]}, deletes={"triple": marked.filter("is_duplicate").select(TRIPLE)})
-    after = state | {"triple": first.apply("triple", state["triple"], TRIPLE)}
-    updates, deletes = _picked(after, outcomes.filter((o == "pick") & F.col("picked").isNotNull()))
+    asked = outcomes.filter((o == "none") | (o == "pick") & F.col("picked").isNotNull()).select(TRIPLE, "outcome", "picked")
+    rows = staged(state["triple"].join(asked, TRIPLE))
+    fresh = rows.filter(o == "none").drop("picked", "outcome")
+    ids, new = upsert_pairs(fresh.select(TRIPLE, F.col("object_label").alias("label"), F.col("object_description").alias("description")), state["entity"], "E")
+    added = new.select("id", F.lit("unexplored").alias("status"), "description", "label", "embedding_index", "first_appeared", F.lit(None).cast("string").alias("explored_batch_id"), F.current_timestamp().alias("created_at"))
+    made = fresh.drop("object_id").join(ids.withColumnRenamed("id", "object_id"), TRIPLE).select(TRIPLE, *SIGNATURE, F.lit(True).alias("made"))
+    chosen = rows.filter(o == "pick").select(TRIPLE, *[F.col("picked").alias(c) if c == "object_id" else F.col(c) for c in SIGNATURE], F.lit(False).alias("made"))
+    resolved = staged(made.unionByName(chosen))
+    # one pass over the facts for both: which of them have the signatures that come
+    facts = state["triple"].select(F.col(TRIPLE).alias("other"), *SIGNATURE)
+    met = resolved.alias("r").join(facts.alias("t"), same("r", "t", SIGNATURE, {"predicate_id"})).select(F.col(f"r.{TRIPLE}").alias(TRIPLE), "other", "made", F.col("r.predicate_id").alias("predicate_id"))
+    met = staged(met.filter(~F.col("made") | F.col("predicate_id").isNotNull()))
+    made, chosen = resolved.filter("made"), resolved.filter("not made")
+    taken = met.filter("made").select(TRIPLE).distinct()
+    first = keep_first(made, SIGNATURE, TRIPLE).join(taken, TRIPLE, "left_anti")
+    kept = staged(made.join(first, TRIPLE, "left_semi"))
+    # picks meet the facts as they are by then: those that were made have their new signature or are gone
+    before = met.filter(~F.col("made")).join(made.select(F.col(TRIPLE).alias("other")), "other", "left_anti").select(TRIPLE)
+    meanwhile = chosen.alias("r").join(kept.alias("t"), same("r", "t", SIGNATURE, {"predicate_id"}), "left_semi").select(TRIPLE)
+    late = keep_first(chosen, SIGNATURE, TRIPLE).join(before.unionByName(meanwhile).distinct(), TRIPLE, "left_anti")
+    done = kept.unionByName(chosen.join(late, TRIPLE, "left_semi"))
+    done = staged(_set(done, TRIPLE, object_id=F.col("object_id"), object_status="finished"))
     failed = _set(outcomes.filter(o == "failed"), TRIPLE, object_status="dg_finished")
     return Delta(
-        updates={"triple": [*first.updates["triple"], updates, failed]},
-        deletes={"triple": first.deletes["triple"].unionByName(deletes)},
+        updates={"triple": [done.unionByName(failed, allowMissingColumns=True)]},
+        deletes={"triple": resolved.select(TRIPLE).join(done.select(TRIPLE), TRIPLE, "left_anti")},
         inserts={"entity": added.select(*state["entity"].columns)},
     )
 
@@ -135,3 +149,21 @@ RESET = {
     "nedg": ("triple", "object_status", "ondg", "ned_finished1"), "ned2": ("triple", "object_status", "onned2", "dg_finished"), "pd": ("triple", "predicate_status", "onpd", "generated"),
     "pdg": ("triple", "predicate_status", "ondg", "pd_finished"), "cd": ("instance_triple", "status", "oncd", "generated"), "cdg": ("instance_triple", "status", "ondg", "cd_finished"),
 }
+
+
+def unanswered(stage: str) -> Column:
+    """The items that a batch of a stage holds; objects of facts only where they are named entities, but for their recognition."""
+    _, column, out, _ = RESET[stage]
+    held = F.col(column) == out
+    return held & (F.col("object_type") == "ne") if stage in ("ned1", "nedg", "ned2") else held
+
+
+def counts(outcomes: DataFrame) -> DataFrame:
+    """``outcome, n``: how many items each outcome has; of recognised phrases, named entities and literals apart. A pick without its
+    candidate is ``out of range``."""
+    name = F.col("outcome")
+    if "is_ne" in outcomes.columns:
+        name = F.when(name != "text", name).when(F.col("is_ne"), "ne").otherwise("literal")
+    if "picked" in outcomes.columns:
+        name = F.when((name == "pick") & F.col("picked").isNull(), "out of range").otherwise(name)
+    return outcomes.groupBy(name.alias("outcome")).agg(F.count("*").alias("n"))

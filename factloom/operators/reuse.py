@@ -18,8 +18,9 @@ def consistent_objects(facts: DataFrame, more_than: int = 50) -> DataFrame:
     return grouped.filter((F.col("facts") > more_than) & (F.col("object_id") == F.col("__max"))).drop("__max")
 
 
-def label_map(df: DataFrame, label: str, ident: str, longer_than: int = 0) -> DataFrame:
-    """``label, id``: the id known for each label longer than so many characters, the largest as a string."""
+def label_map(df: DataFrame, label: str, ident: str, longer_than: int = -1) -> DataFrame:
+    """``label, id``: the id known for each label longer than so many characters, the largest as a string. A null label is
+    none; an empty one is, with ``longer_than`` below 0."""
     known = df.filter(F.col(ident).isNotNull() & (F.length(label) > longer_than))
     return known.groupBy(F.col(label).alias(label)).agg(F.max(ident).alias(ident))
 

@@ -53,11 +53,13 @@ def numbered_in_partition(df: DataFrame) -> DataFrame:
 def offset_chunks(df: DataFrame, key: Column, chunk_rows: int | None = None) -> DataFrame:
     """``df`` with ``__key``, ``__no`` (exact number of the row within its key, in input order) and ``__chunk``.
 
-    ``df`` must give the same rows in the same partitions whenever it is computed, as a file scan or a staged table
-    does. ``chunk_rows`` defaults to a quarter of an even share of the rows per shuffle partition, so keys of more than
+    The rows are read twice, in the same partitions: an input that is shuffled before, and may fall into others the next time, is
+    written once. ``chunk_rows`` defaults to a quarter of an even share of the rows per shuffle partition, so keys of more than
     one chunk number at most four times the partitions.
     """
     spark = df.sparkSession
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        df = staged(df)
     keyed = df.withColumn("__key", key)
     counts = staged(
         keyed.select("__key", F.spark_partition_id().alias("__part")).groupBy("__key", "__part").agg(F.count("*").alias("__n"))

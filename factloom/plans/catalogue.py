@@ -13,6 +13,7 @@ from factloom.operators.ingest import ingest
 from factloom.plans import skew
 from factloom.runtime import staged, table
 from factloom.schema import CONCEPT_STATUS, ENTITY_STATUS, JOBS, OBJECT_STATUS, OBJECT_TYPE, PREDICATE_STATUS, SIGNATURE, once, outside_domain
+from factloom.sources import jsonl
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = dict(skew.QUERIES)
@@ -75,7 +76,7 @@ def predicate_label_map(spark: SparkSession, root: str) -> DataFrame:
     return reuse.label_map(at(spark, root, "triple"), "predicate_label", "predicate_id", 1)
 
 
-@query("concept_label_map", "SELECT concept_label, max(concept_id) AS concept_id FROM i_ WHERE concept_id IS NOT NULL AND concept_label <> '' GROUP BY 1")
+@query("concept_label_map", "SELECT concept_label, max(concept_id) AS concept_id FROM i_ WHERE concept_id IS NOT NULL AND concept_label IS NOT NULL GROUP BY 1")
 def concept_label_map(spark: SparkSession, root: str) -> DataFrame:
     return reuse.label_map(at(spark, root, "instance_triple"), "concept_label", "concept_id")
 
@@ -222,7 +223,7 @@ def pd_cache_apply(spark: SparkSession, root: str) -> DataFrame:
     return dedup.apply_predicate_map(queues.ready(facts, "pd"), facts, reuse.label_map(facts, "predicate_label", "predicate_id", 1))
 
 
-_CMAP = "SELECT concept_label, max(concept_id) AS cid FROM i_ WHERE concept_id IS NOT NULL AND concept_label <> '' GROUP BY 1"
+_CMAP = "SELECT concept_label, max(concept_id) AS cid FROM i_ WHERE concept_id IS NOT NULL AND concept_label IS NOT NULL GROUP BY 1"
 
 
 @query(
@@ -528,6 +529,73 @@ def chat_request_lines(spark: SparkSession, root: str) -> DataFrame:
     return request_lines(spark, root).select(prompts.chat_request(F.col("value"), merge_system=True).alias("value"))
 
 
+# all stages: S3, S6, X1. Each asks about the facts that wait for it; classes are asked about with the facts themselves.
+_FORM_SQL = {
+    "elicitation": '{"type":"json_schema","name":"facts","strict":true,"schema":{"type":"object","properties":{"facts":{"type":"array","items":{"type":"object","properties":{"subject":{"type":"string"},"predicate":{"type":"string"},"object":{"type":"string"}},"required":["subject","predicate","object"],"additionalProperties":false}}},"required":["facts"],"additionalProperties":false}}',
+    "ner": '{"type":"json_object"}',
+}
+_CHAT_FORM_SQL = {
+    "elicitation": ',"response_format":{"type":"json_schema","json_schema":{"name":"facts","schema":{"additionalProperties":false,"properties":{"facts":{"items":{"additionalProperties":false,"properties":{"object":{"type":"string"},"predicate":{"type":"string"},"subject":{"type":"string"}},"required":["subject","predicate","object"],"type":"object"},"type":"array"}},"required":["facts"],"type":"object"},"strict":true}}',
+    "ner": ',"response_format":{"type":"json_object"}',
+}
+_WAITING = {"cd": "predicate_id = 'P0'", "cdg": "predicate_id = 'P0'"}
+
+
+def _request_sql(stage: str, chat: bool) -> str:
+    tokens, effort, temperature = prompts.LIMITS[stage]
+    system = prompts.SYSTEM[stage].replace("\\", "\\\\").replace('"', '\\"').replace("'", "''")
+    key, table_, user = ("id", "e_", f"'Subject: ' || {_S('label')} || '\nDescription of subject: ' || {_S('description')}") if stage == "elicitation" else ("triple_id", "t_", _PROMPTS[stage][1])
+    where, said, warm = _WAITING.get(stage) or _READY_SQL[stage], f"to_json({user})::VARCHAR", "" if temperature is None else f',"temperature":{temperature}'
+    if chat:
+        warm = "" if temperature is None else f',"temperature":{float(temperature)}'
+        body = f"""{{"model":"model","messages":[{{"role":"system","content":"{system}"}},{{"role":"user","content":' || {said} || '}}],"max_tokens":{tokens}{warm}{_CHAT_FORM_SQL.get(stage, "")}}}"""
+    else:
+        body = f"""{{"model":"model","input":[{{"role":"developer","content":"{system}"}},{{"role":"user","content":' || {said} || '}}],"reasoning":{{"effort":"{effort}"}},"text":{{"verbosity":"low","format":{_FORM_SQL.get(stage, '{"type":"text"}')}}},"max_output_tokens":{tokens}{warm}}}"""
+    return f"""SELECT '{stage}' AS stage, '{{"custom_id":"' || {key} || '","method":"POST","url":"{"/v1/chat/completions" if chat else "/v1/responses"}","body":{body}}}' AS value FROM {table_} WHERE {where}"""
+
+
+@query("request_lines_all", " UNION ALL ".join(_request_sql(stage, False) for stage in _READY_SQL))
+def request_lines_all(spark: SparkSession, root: str) -> DataFrame:
+    """The request lines of all nine stages."""
+    facts, whole = at(spark, root, "triple"), None
+    for stage in _READY_SQL:
+        if stage == "elicitation":
+            items, key, user = queues.ready(at(spark, root, "entity"), stage), "id", prompts.elicitation(F.col("label"), F.col("description"))
+        else:
+            items, key, user = facts.filter(_WAITING[stage]) if stage in _WAITING else queues.ready(facts, stage), "triple_id", _PROMPTS[stage][0]()
+        lines = items.select(F.lit(stage).alias("stage"), prompts.request(stage, F.col(key), user).alias("value"))
+        whole = lines if whole is None else whole.unionByName(lines)
+    return whole
+
+
+@query("chat_request_lines_all", " UNION ALL ".join(_request_sql(stage, True) for stage in _READY_SQL))
+def chat_request_lines_all(spark: SparkSession, root: str) -> DataFrame:
+    return request_lines_all(spark, root).select("stage", prompts.chat_request(F.col("value")).alias("value"))
+
+
+@query("normalised_responses", f"SELECT triple_id AS custom_id, coalesce({TRIM.format('object_label')}, '') AS text FROM t_")
+def normalised_responses(spark: SparkSession, root: str) -> DataFrame:
+    """Chat response lines, brought into the form of the others and read: S5."""
+    message = F.struct(F.struct(F.concat(F.lit("<think>x</think>"), F.coalesce("object_label", F.lit(""))).alias("content")).alias("message"))
+    body = F.struct(F.array(message).alias("choices"), F.lit("m").alias("model"))
+    line = F.to_json(F.struct(F.col("triple_id").alias("custom_id"), F.struct(body.alias("body")).alias("response")))
+    return jsonl.responses(at(spark, root, "triple").select(jsonl.normalised(line).alias("value")))
+
+
+@query("vector_metadata", "SELECT kind, count(DISTINCT embedding_index) AS vector_count, max(len(embedding)) AS embedding_dim FROM label_vector GROUP BY 1")
+def vector_metadata(spark: SparkSession, root: str) -> DataFrame:
+    """Vectors of each kind and their length: S12."""
+    found = table(spark, root, "label_vector")
+    return found.groupBy("kind").agg(F.count_distinct("embedding_index").alias("vector_count"), F.max(F.size("embedding")).cast("long").alias("embedding_dim"))
+
+
+@query("facts_of_entities", "SELECT t_.triple_id, e_.label, e_.status FROM t_ JOIN e_ ON e_.id = t_.object_id")
+def facts_of_entities(spark: SparkSession, root: str) -> DataFrame:
+    """The entity behind each object id: F12, as a join in place of point lookups."""
+    entities = at(spark, root, "entity").select(F.col("id").alias("object_id"), "label", "status")
+    return at(spark, root, "triple").select("triple_id", "object_id").join(entities, "object_id").select("triple_id", "label", "status")
+
+
 # --- outcomes and changes: M3-M11, M15, C6 ---------------------------------------------------------------------------
 
 _NO = n("triple_id")
@@ -697,12 +765,12 @@ def apply_cdg(spark: SparkSession, root: str) -> DataFrame:
 _RESETS = {"object_status": {"onned1": "ner_finished", "ondg": "ned_finished1", "onned2": "dg_finished"}}
 
 
-@query("reset_unanswered", "SELECT triple_id, CASE object_status " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _RESETS["object_status"].items()) + " ELSE object_status END AS object_status FROM t_")
+@query("reset_unanswered", "SELECT triple_id, CASE " + " ".join(f"WHEN object_type = 'ne' AND object_status = '{a}' THEN '{b}'" for a, b in _RESETS["object_status"].items()) + " ELSE object_status END AS object_status FROM t_")
 def reset_unanswered(spark: SparkSession, root: str) -> DataFrame:
     facts = at(spark, root, "triple")
     for stage in ("ned1", "nedg", "ned2"):
-        _, column, out, back = outcomes.RESET[stage]
-        facts = delta.update_where(facts, F.col(column) == out, **{column: back})
+        _, column, _, back = outcomes.RESET[stage]
+        facts = delta.update_where(facts, outcomes.unanswered(stage), **{column: back})
     return facts.select("triple_id", "object_status")
 
 
@@ -735,14 +803,51 @@ def replace_links(spark: SparkSession, root: str) -> DataFrame:
     return delta.replace_links(links, new, "triple_id")
 
 
-@query("full_round_replay")
+@query("outcome_counts", f"SELECT CASE WHEN o <> 'text' THEN o WHEN {_NO} % 2 = 0 THEN 'ne' ELSE 'literal' END AS outcome, count(*) AS n FROM (SELECT *, {_script_sql(_NER)} AS o FROM t_ WHERE {_READY_SQL['ner']}) GROUP BY 1")
+def outcome_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Outcomes of the scripted recognition, counted: A11."""
+    found = _scripted(queues.ready(at(spark, root, "triple"), "ner"), "triple_id", _NER, is_ne=ids.num(F.col("triple_id")) % 2 == 0)
+    return outcomes.counts(found)
+
+
+@query("known_facts", "SELECT DISTINCT subject_id, predicate_label, object_label FROM t_ a WHERE EXISTS (SELECT 1 FROM t_ b WHERE b.triple_id <> a.triple_id AND a.subject_id = b.subject_id AND a.predicate_label = b.predicate_label AND a.object_label = b.object_label)")
+def known_facts(spark: SparkSession, root: str) -> DataFrame:
+    """Facts stored under several ids: J4. A null never equals."""
+    keys = ["subject_id", "predicate_label", "object_label"]
+    facts = at(spark, root, "triple").select("triple_id", *keys).dropna(subset=keys)
+    return facts.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+
+
+@query("insert_or_ignore_all", "SELECT triple_id FROM t_ WHERE predicate_id = 'P0' OR predicate_label <> 'instanceOf' EXCEPT SELECT original_triple_id FROM i_")
+def insert_or_ignore_all(spark: SparkSession, root: str) -> DataFrame:
+    """Ids of facts offered to the class facts, those there already ignored: M2."""
+    offered = at(spark, root, "triple").filter("predicate_id = 'P0' or predicate_label <> 'instanceOf'").select(F.col("triple_id").alias("original_triple_id"))
+    return dedup.insert_or_ignore(offered, at(spark, root, "instance_triple"), ["original_triple_id"]).select(F.col("original_triple_id").alias("triple_id"))
+
+
+_REPLAYED = """SELECT * FROM (VALUES
+    ('T0', 'instanceOf', 'P0', 'finished', 'human', NULL, 'class', 'finished', NULL), ('T1', 'bornIn', 'P1', 'finished', 'Port Vell', 'E1', 'ne', 'finished', 'A harbour.'),
+    ('T2', 'birthYear', 'P2', 'finished', '1815', NULL, 'literal', 'finished', NULL))
+    AS r(triple_id, predicate_label, predicate_id, predicate_status, object_label, object_id, object_type, object_status, object_description)"""
+
+
+@query("full_round_replay", _REPLAYED)
 def full_round_replay(spark: SparkSession, root: str) -> DataFrame:
-    """Facts, entities and statuses after rounds over a small scripted knowledge base."""
+    """Facts after rounds over a small scripted knowledge base, answered at once. It reads no table: what a round does to the
+    tables is in the queries of its stages."""
     from factloom.plans.replay import replayed
 
     return replayed(spark)
 
 
+@query("batch_round_replay", _REPLAYED)
+def batch_round_replay(spark: SparkSession, root: str) -> DataFrame:
+    """The same knowledge base built in batch mode, each batch answered between two rounds."""
+    from factloom.plans.replay import replayed
+
+    return replayed(spark, 9, True)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
