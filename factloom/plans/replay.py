@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.engine import Engine, Limits
+from factloom.operators import queues
 from factloom.operators.vectors import HashEmbedder
-from factloom.responder import ReplayResponder
-from factloom.runtime import shared_dir
+from factloom.responder import FolderBatches, ReplayResponder
+from factloom.runtime import remove, shared_dir, staged
+from factloom.schema import JOBS
 from factloom.sources.store import Store
 
 
@@ -31,12 +33,24 @@ def script() -> list[tuple[str, str, str | None]]:
     ]
 
 
-def replayed(spark: SparkSession, rounds: int = 3) -> DataFrame:
-    """The facts after ``rounds`` rounds."""
-    store = Store(spark, f"{shared_dir(spark)}/factloom-replay-{uuid.uuid4().hex}")
+def replayed(spark: SparkSession, rounds: int = 3, batchwise: bool = False) -> DataFrame:
+    """The facts after ``rounds`` rounds; ``batchwise`` with batches in folders, each answered between two rounds."""
+    root = f"{shared_dir(spark)}/factloom-replay-{uuid.uuid4().hex}"
+    store = Store(spark, f"{root}/store")
     store.create()
     embedder = HashEmbedder()
     store.seed("Ada", "A mathematician.", embedder)
-    answers = spark.createDataFrame(script(), "stage string, custom_id string, text string")
-    Engine(store, ReplayResponder(answers), embedder, Limits(idle_rounds=1)).run(rounds)
-    return store.read("triple").select("triple_id", "predicate_label", "predicate_id", "predicate_status", "object_label", "object_id", "object_type", "object_status", F.col("object_description"))
+    answers = ReplayResponder(spark.createDataFrame(script(), "stage string, custom_id string, text string"))
+    stage_of = {job: stage for stage, (job, _, _) in JOBS.items()}
+    client = FolderBatches(spark, f"{root}/batches")
+    engine = Engine(store, answers, embedder, Limits(idle_rounds=1), client, batchwise)
+    for _ in range(rounds):
+        engine.round()
+        for r in queues.in_process(store.read("batch_job")).collect():
+            client.finish(r["id"], stage_of[r["job_type"]], answers)
+    if batchwise:
+        engine.poll()
+    found = store.read("triple").select("triple_id", "predicate_label", "predicate_id", "predicate_status", "object_label", "object_id", "object_type", "object_status", F.col("object_description"))
+    found = staged(found)
+    remove(spark, root)
+    return found
