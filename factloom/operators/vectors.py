@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from typing import Protocol
 
 import numpy as np
@@ -13,8 +14,8 @@ from pyspark.sql import functions as F
 from factloom.runtime import staged
 
 BLOCK_ROWS, LOT_ROWS, STEP = 8_192, 65_536, 1_024
-#: Different vectors a component may have: its distances must fit into one task's memory.
-MOST_LINKED = 12_000
+#: Different vectors of a component up to which one task clusters it by all its distances; a larger one is clustered in rounds.
+MOST_LINKED = 2_000
 
 
 class Embedder(Protocol):
@@ -147,29 +148,70 @@ def cluster_vectors(df: DataFrame, threshold: float = 0.15) -> DataFrame:
 
     A merge below the threshold needs a pair below it, so every cluster lies in one component of the graph of such pairs,
     and each component is clustered exactly. Equal vectors are one weighted point, so many copies don't make a component
-    large; one of more than MOST_LINKED different vectors is an error, as average linkage needs all its distances.
+    large; components of more than MOST_LINKED different vectors are clustered in rounds, with no limit of their size.
     ``cluster`` is the least member. Zero vectors are alone; null ones are left out. The pairs come from blocks of the
     whole queue, which suits the tens of thousands of labels that a round takes.
     """
     norm = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     one = staged(df.select("idx", "embedding").dropna().groupBy("idx").agg(F.min("embedding").alias("embedding")))
     points = staged(one.filter(norm > 0).groupBy("embedding").agg(F.min("idx").alias("idx"), F.count("*").alias("weight")))
-    roots = components(near_pairs(points.select(F.lit("all").alias("kind"), "idx", "embedding"), 1 - threshold))
+    pairs = staged(near_pairs(points.select(F.lit("all").alias("kind"), "idx", "embedding"), 1 - threshold))
+    roots = components(pairs)
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) > MOST_LINKED:
-            raise ValueError(f"{len(pdf)} different vectors hang together below the threshold; lower it")
         pdf = pdf.sort_values("idx")
         ids = pdf["idx"].to_numpy()
         x = _unit(pdf["embedding"])
         of = average_linkage(1 - x @ x.T, threshold, pdf["weight"].to_numpy())
         return pd.DataFrame({"idx": ids, "cluster": pd.Series(ids).groupby(of).transform("min").to_numpy()})
 
-    linked = points.join(roots, "idx").groupBy("root").applyInPandas(link, "idx long, cluster long")
+    large = staged(roots.groupBy("root").agg(F.count("*").alias("n")).filter(F.col("n") > MOST_LINKED).select("root"))
+    small = points.join(roots.join(large, "root", "left_anti"), "idx")
+    linked = small.groupBy("root").applyInPandas(link, "idx long, cluster long")
+    if not large.isEmpty():
+        members = roots.join(large, "root", "left_semi").select("idx")
+        linked = linked.unionByName(linked_in_rounds(points.join(members, "idx", "left_semi"), pairs.join(members.toDF("a"), "a", "left_semi"), threshold))
     of_point = points.join(linked, "idx", "left").select("embedding", F.coalesce("cluster", "idx").alias("cluster"))
     return one.join(of_point, "embedding", "left").select("idx", F.coalesce("cluster", "idx").alias("cluster"))
 
 
+def linked_in_rounds(points: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """``idx, cluster`` of those ``points`` (``idx, embedding, weight``) that average linkage puts under another one, where
+    ``pairs`` (``a, b``) are all those below the threshold.
+
+    In a round all clusters that are each other's nearest merge at once, which gives the tree of single merges, as average
+    linkage is reducible. The distance of two clusters follows from the sums of their unit vectors, so nothing holds all
+    distances. A pair at the threshold or above it is left out: a cluster that neither of two may join can't join both.
+    """
+
+    def unit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            if len(pdf):
+                yield pd.DataFrame({"idx": pdf["idx"], "total": list(_unit(pdf["embedding"]) * pdf["weight"].to_numpy(dtype=np.float64)[:, None]), "weight": pdf["weight"]})
+
+    clusters = staged(points.select("idx", "embedding", "weight").mapInPandas(unit, "idx long, total array<double>, weight long"))
+    edges, merged = pairs.select("a", "b"), None
+    dot = F.aggregate(F.zip_with("a_total", "b_total", lambda x, y: x * y), F.lit(0.0), lambda x, y: x + y)
+    while True:
+        a, b = (clusters.select(F.col("idx").alias(v), F.col("total").alias(f"{v}_total"), F.col("weight").alias(f"{v}_weight")) for v in "ab")
+        apart = edges.join(a, "a").join(b, "b").select((1 - dot / F.col("a_weight") / F.col("b_weight")).alias("d"), "a", "b")
+        edges = staged(apart.filter(F.col("d") < threshold))
+        edge = F.struct("d", "a", "b").alias("edge")
+        ends = edges.select(F.col("a").alias("idx"), edge).unionByName(edges.select(F.col("b").alias("idx"), edge))
+        mutual = staged(ends.groupBy("idx").agg(F.min("edge").alias("edge")).groupBy("edge").agg(F.count("*").alias("n")).filter("n = 2").select("edge.a", "edge.b"))
+        if mutual.isEmpty():  # the least pair of all is mutual, so none is left
+            break
+        merged = mutual if merged is None else merged.unionByName(mutual)
+        other = mutual.join(b, "b").select(F.col("a").alias("idx"), "b_total", "b_weight")
+        kept = clusters.join(ends.select("idx").distinct(), "idx", "left_semi").join(mutual.select(F.col("b").alias("idx")), "idx", "left_anti").join(other, "idx", "left")
+        total = F.coalesce(F.zip_with("total", "b_total", lambda x, y: x + y), "total")
+        clusters = staged(kept.select("idx", total.alias("total"), (F.col("weight") + F.coalesce("b_weight", F.lit(0))).alias("weight")))
+        led = edges.join(mutual.toDF("a_to", "a"), "a", "left").join(mutual.toDF("b_to", "b"), "b", "left")
+        led = led.select(F.coalesce("a_to", "a").alias("a"), F.coalesce("b_to", "b").alias("b")).filter("a <> b")
+        edges = led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return points.select("idx").limit(0).withColumn("cluster", F.col("idx")) if merged is None else components(merged).withColumnRenamed("root", "cluster")
+
+
 def components(pairs: DataFrame) -> DataFrame:
     """``idx, root`` for every end of ``pairs`` (``a, b``): the least member of its component.
 

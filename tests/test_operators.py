@@ -138,6 +138,20 @@ def test_clusters_in_components(spark):
     assert got == want
 
 
+def test_large_components_are_clustered_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "MOST_LINKED", 3)
+    for seed in (1, 2):
+        rng = np.random.default_rng(seed)
+        x = np.repeat(rng.normal(size=(3, 8)), 16, axis=0) + rng.normal(size=(48, 8)) * 0.3
+        u = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32).astype(np.float64)
+        u[5] = u[9]  # one point of weight 2
+        df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(u)], "idx long, embedding array<float>")
+        u /= np.linalg.norm(u, axis=1, keepdims=True)
+        want = {i: min(c) for c in brute_linkage(1 - u @ u.T, 0.15) for i in c}
+        assert {r["idx"]: r["cluster"] for r in vectors.cluster_vectors(df, 0.15).collect()} == want
+        assert 3 < len(set(want.values())) < 40
+
+
 def test_components_of_a_long_path(spark):
     pairs = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (102, 101)]
     got = {r["idx"]: r["root"] for r in vectors.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
