@@ -5,7 +5,9 @@ query, centroid pairs are traversed in the order of their summed distances with
 one by ``slack``, and the entries of the visited cells are reranked by their exact similarity. Queries of one home cell
 share a traversal. ``slack`` is calibrated for each kind: sampled queries are compared with all entries, and it is what
 their true neighbours need. There is no cap on visited cells or entries; cells are cut into blocks of bounded size, and
-the queries that visit one into lots, so neither the index nor a cell has to fit into one task.
+the queries that visit one into lots, so neither the index nor a cell has to fit into one task. A query travels to each cell
+it visits; the queries are cut into parts by their home cells, one search after the other, so that what travels at
+once takes no more disk than the vectors themselves.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ SAMPLE, ROUNDS = 20_000, 10
 CELL_ROWS, MOST_CENTROIDS = 512, 256
 #: Entries of a block, and queries that one block meets at once.
 BLOCK_ROWS, QUERY_ROWS, STEP = 4_096, 65_536, 2_048
+#: Bytes of queries that travel at once, where all vectors have fewer.
+PART_BYTES = 1 << 28
 #: Queries of a kind that ``slack`` is calibrated on, the share of their neighbours that must lie in visited cells, and the
 #: allowance for the error of that share.
 ASKED, REACHED, MARGIN = 512, 0.99, 1.15
@@ -76,6 +80,13 @@ def visited(first: np.ndarray, second: np.ndarray, slack: float) -> Iterator[tup
             heapq.heappush(heap, (d1[by1[i]] + d2[by2[j + 1]], i, j + 1))
 
 
+def parts(homes: pd.DataFrame, most: int) -> pd.Series:
+    """Numbers of parts for home cells ``grp, home, bytes``, in that order: each part's queries travel with about ``most``
+    bytes, or are those of one home cell."""
+    ordered = homes.sort_values(["grp", "home"])
+    return ((ordered["bytes"].cumsum() - ordered["bytes"]) // max(most, 1)).astype("int64").reindex(homes.index)
+
+
 def matrix(column: pd.Series) -> np.ndarray:
     """The vectors of a column of bytes."""
     return np.frombuffer(b"".join(column), dtype=np.float32).reshape(len(column), -1)
@@ -150,7 +161,7 @@ def similar(df: DataFrame, k: int = 5, least: float = -1.0, slack: float | None
     gives no rows.
     """
     spark = df.sparkSession
-    units = staged(unit_vectors(df, kind, index, vector))
+    units = staged(unit_vectors(df, kind, index, vector), tidy=True)
     by_value = Window.partitionBy("grp", "vec").orderBy("idx")
     entries = units.withColumn("nth", F.row_number().over(by_value)).filter(F.col("nth") <= k + 1)  # limited before the shuffle
     sizes = {r["grp"]: r["n"] for r in units.groupBy("grp").agg(F.count("*").alias("n")).collect()}
@@ -170,36 +181,38 @@ def similar(df: DataFrame, k: int = 5, least: float = -1.0, slack: float | None
                 x, (c1, c2) = matrix(part["vec"]), shared.value[grp]
                 half = len(c1[0])
                 cell = np.argmin(distances(x[:, :half], c1), axis=1) * len(c2) + np.argmin(distances(x[:, half:], c2), axis=1)
-                yield part.assign(cell=cell.astype(np.int32))[["grp", "idx", "vec", "cell"]]
+                yield part.assign(cell=cell.astype(np.int32))
 
-    placed = staged(entries.select("grp", "idx", "vec").mapInPandas(place, "grp string, idx long, vec binary, cell int"))
-    classes = staged(units.groupBy("grp", "vec").agg(F.min("idx").alias("idx"), F.max(F.col("idx") % every == 0).alias("asks"), F.count("*").alias("members")))
-    asking = classes.filter("asks").select("grp", "idx", "vec")
+    placed = staged(entries.select("grp", "idx", "vec").mapInPandas(place, "grp string, idx long, vec binary, cell int"), tidy=True)
+    classes = units.groupBy("grp", "vec").agg(F.min("idx").alias("idx"), F.max(F.col("idx") % every == 0).alias("asks"), F.count("*").alias("members"))
+    at_home = classes.mapInPandas(place, "grp string, vec binary, idx long, asks boolean, members long, cell int").withColumnRenamed("cell", "home")
+    classes = staged(at_home.repartition("grp", "home").sortWithinPartitions("grp", "home"), tidy=True)  # queries of one home cell come together
+    asking = classes.filter("asks").select("grp", "home", "idx", "vec")
     slacks = _calibrated(placed, asking, centres, sizes, k, least) if slack is None else dict.fromkeys(sizes, slack)
 
-    def visits(pdf: pd.DataFrame) -> Iterator[tuple[str, int, np.ndarray, pd.DataFrame]]:
+    def visits(pdf: pd.DataFrame) -> Iterator[tuple[str, int, int, np.ndarray, pd.DataFrame]]:
         for grp, part in pdf.groupby("grp"):
             x, (c1, c2) = matrix(part["vec"]), shared.value[grp]
             half = len(c1[0])
             d1, d2 = distances(x[:, :half], c1), distances(x[:, half:], c2)
-            home = d1.argmin(axis=1) * len(c2) + d2.argmin(axis=1)
+            home = part["home"].to_numpy()
             order = np.argsort(home, kind="stable")
             for rows in np.split(order, np.flatnonzero(np.diff(home[order])) + 1):
                 for cell, those in visited(d1[rows], d2[rows], slacks.get(grp, 0.0)):
-                    yield grp, cell, rows[those], part
+                    yield grp, int(home[rows[0]]), cell, rows[those], part
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            numbers: dict[tuple[str, int], int] = {}
-            for grp, cell, rows, _ in visits(pdf):
-                numbers[grp, cell] = numbers.get((grp, cell), 0) + len(rows)
-            yield pd.DataFrame([(*key, n) for key, n in numbers.items()], columns=["grp", "cell", "visits"])
+            numbers: dict[tuple[str, int, int], int] = {}
+            for grp, home, cell, rows, _ in visits(pdf):
+                numbers[grp, home, cell] = numbers.get((grp, home, cell), 0) + len(rows)
+            yield pd.DataFrame([(*key, n) for key, n in numbers.items()], columns=["grp", "home", "cell", "visits"])
 
     def visit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             those: dict[tuple[str, int], list[np.ndarray]] = {}
             parts: dict[str, pd.DataFrame] = {}
-            for grp, cell, rows, part in visits(pdf):
+            for grp, _, cell, rows, part in visits(pdf):
                 those.setdefault((grp, cell), []).append(rows)
                 parts[grp] = part
             arrays = {grp: (part["idx"].to_numpy(), matrix(part["vec"])) for grp, part in parts.items()}
@@ -213,23 +226,8 @@ def similar(df: DataFrame, k: int = 5, least: float = -1.0, slack: float | None
                     out = []
             yield pd.DataFrame(out, columns=["grp", "cell", "ids", "vecs"])
 
-    held = placed.groupBy("grp", "cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    wanted = asking.mapInPandas(count, "grp string, cell int, visits long").groupBy("grp", "cell").agg(F.ceil(F.sum("visits") / QUERY_ROWS).cast("int").alias("lots"))
-    cells = F.broadcast(staged(held.join(wanted, ["grp", "cell"])))  # at most MOST_CENTROIDS squared a kind
-    blocked = (
-        placed.join(cells, ["grp", "cell"])
-        .withColumn("block", F.pmod(F.xxhash64("idx"), F.col("blocks")).cast("int"))
-        .withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)))
-        .select("grp", "cell", "block", "lot", "idx", "vec")
-    )
-    # the queries of a batch that visit a cell travel as one row
-    queries = (
-        asking.mapInPandas(visit, "grp string, cell int, ids binary, vecs binary")
-        .join(cells, ["grp", "cell"])
-        .withColumn("lot", F.pmod(F.xxhash64("ids"), F.col("lots")).cast("int"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("grp", "cell", "block", "lot", "ids", "vecs")
-    )
+    held = staged(placed.groupBy("grp", "cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")))
+    counted = staged(asking.mapInPandas(count, "grp string, home int, cell int, visits long").groupBy("grp", "home", "cell").agg(F.sum("visits").alias("visits")), tidy=True)
     group = ["grp", "cell", "block", "lot"]
 
     def rerank(asked: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
@@ -257,10 +255,40 @@ def similar(df: DataFrame, k: int = 5, least: float = -1.0, slack: float | None
                     out.append(pd.DataFrame({"grp": asked["grp"].iat[0], "idx": q_ids[i + row[keep]], "neighbour": ids[col[keep]], "similarity": exact[keep]}))
         return pd.concat(out) if out else pd.DataFrame({"grp": [], "idx": [], "neighbour": [], "similarity": []}).astype({"grp": str, "idx": "int64", "neighbour": "int64"})
 
-    found = queries.groupBy(*group).cogroup(blocked.groupBy(*group)).applyInPandas(rerank, "grp string, idx long, neighbour long, similarity double")
-    best = Window.partitionBy("grp", "idx").orderBy(F.desc("similarity"), "neighbour")
-    lists = found.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= k + 1).select("grp", "idx", "neighbour", "similarity")
-    lists = staged(lists)
+    def search(asking: DataFrame, counted: DataFrame) -> DataFrame:
+        wanted = counted.groupBy("grp", "cell").agg(F.ceil(F.sum("visits") / QUERY_ROWS).cast("int").alias("lots"))
+        cells = F.broadcast(staged(held.join(wanted, ["grp", "cell"])))  # at most MOST_CENTROIDS squared a kind
+        blocked = (
+            placed.join(cells, ["grp", "cell"])
+            .withColumn("block", F.pmod(F.xxhash64("idx"), F.col("blocks")).cast("int"))
+            .withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)))
+            .select("grp", "cell", "block", "lot", "idx", "vec")
+        )
+        # the queries of a batch that visit a cell travel as one row
+        queries = (
+            asking.mapInPandas(visit, "grp string, cell int, ids binary, vecs binary")
+            .join(cells, ["grp", "cell"])
+            .withColumn("lot", F.pmod(F.xxhash64("ids"), F.col("lots")).cast("int"))
+            .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("grp", "cell", "block", "lot", "ids", "vecs")
+        )
+        found = queries.groupBy(*group).cogroup(blocked.groupBy(*group)).applyInPandas(rerank, "grp string, idx long, neighbour long, similarity double")
+        best = Window.partitionBy("grp", "idx").orderBy(F.desc("similarity"), "neighbour")
+        return staged(found.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= k + 1).select("grp", "idx", "neighbour", "similarity"), tidy=True)
+
+    # a query is in one part, so each part's lists are whole
+    homes = counted.join(F.broadcast(held), ["grp", "cell"]).groupBy("grp", "home").agg(F.sum(F.col("visits") * F.col("blocks")).alias("visits")).toPandas()  # at most MOST_CENTROIDS squared a kind
+    row_bytes = {grp: 4 * sum(c.shape[1] for c in centres[grp]) + 8 for grp in sizes}
+    homes["bytes"] = homes["visits"] * homes["grp"].map(row_bytes)
+    homes["part"] = parts(homes, max(PART_BYTES, sum(n * row_bytes[grp] for grp, n in sizes.items())))
+    lists = None
+    for part, those in homes.groupby("part"):
+        here = F.broadcast(spark.createDataFrame(those[["grp", "home"]], "grp string, home int"))
+        some = (asking, counted) if len(those) == len(homes) else (asking.join(here, ["grp", "home"], "left_semi"), counted.join(here, ["grp", "home"], "left_semi"))
+        now = search(*some)
+        lists = now if lists is None else lists.unionByName(now)
+    if lists is None:  # nobody asks
+        lists = units.select("grp", "idx", F.col("idx").alias("neighbour"), F.lit(0.0).alias("similarity")).limit(0)
     # each member of a class of equal vectors has the class's list without itself
     single = lists.join(classes.filter("members = 1 and asks").select("grp", "idx"), ["grp", "idx"], "left_semi").withColumn("member", F.col("idx"))
     several = classes.filter("members > 1 and asks").join(lists, ["grp", "idx"]).groupBy("grp", "vec", "members").agg(F.collect_list(F.struct("neighbour", "similarity")).alias("near"))

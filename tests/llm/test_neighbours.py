@@ -94,3 +94,28 @@ def test_only_some_ask(spark):
     got = lists(neighbours.similar(frame(spark, x), 2, slack=9, every=10))
     want = brute(x, 2)
     assert got == {i: want[i] for i in (0, 10, 20, 30)}
+
+
+def test_queries_travel_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PART_BYTES", 0)  # no more than the vectors have
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1_200, 8))
+    x[100:110] = x[3]
+    made, cut = [], neighbours.parts
+    monkeypatch.setattr(neighbours, "parts", lambda homes, most: made.append((cut(homes, most), homes["bytes"], most)) or made[-1][0])
+    assert lists(neighbours.similar(frame(spark, x), 4, slack=99)) == brute(x, 4)
+    (numbers, size, most), = made
+    assert numbers.nunique() > 8 and size.groupby(numbers).sum().max() < most + size.max()
+    assert neighbours.similar(frame(spark, x[1:]), 4, every=5_000).count() == 4  # index 0 alone asks
+
+
+def test_tidy_staging_leaves_no_shuffle(spark):
+    from factloom import runtime
+
+    sc, before = spark.sparkContext, spark.conf.get(runtime.CLEANUP)
+    held = lambda: sc._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    there = held()
+    out = runtime.staged(spark.range(1_000).repartition(7), tidy=True)
+    assert out.count() == 1_000 and spark.conf.get(runtime.CLEANUP) == before
+    runtime.staged(spark.range(1_000).repartition(7), tidy=True)
+    assert held() <= there + 1  # of the count
