@@ -5,9 +5,9 @@ query, centroid pairs are traversed in the order of their summed distances with
 one by ``slack``, and the entries of the visited cells are reranked by their exact similarity. Queries of one home cell
 share a traversal. ``slack`` is calibrated for each kind: sampled queries are compared with all entries, and it is what
 their true neighbours need. There is no cap on visited cells or entries; cells are cut into blocks of bounded size, and
-the queries that visit one into lots, so neither the index nor a cell has to fit into one task. A query travels to each cell
-it visits; the queries are cut into parts by their home cells, one search after the other, so that what travels at
-once takes no more disk than the vectors themselves.
+the queries that visit one into lots, so neither the index nor a cell has to fit into one task. A query travels once to
+all cells of one first centroid that it visits; the queries are cut into parts by their home cells, one search after the
+other, so that what travels at once takes no more disk than the vectors themselves.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ from factloom.runtime import staged
 SAMPLE, ROUNDS = 20_000, 10
 #: Entries a cell should have on average; with it the number of centroids grows as the square root of the collection.
 CELL_ROWS, MOST_CENTROIDS = 512, 256
-#: Entries of a block, and queries that one block meets at once.
-BLOCK_ROWS, QUERY_ROWS, STEP = 4_096, 65_536, 2_048
+#: Entries compared at once, those of a block, queries that one block meets, and those compared at once.
+BLOCK_ROWS, SHELF_ROWS, QUERY_ROWS, STEP = 4_096, 65_536, 65_536, 2_048
 #: Bytes of queries that travel at once, where all vectors have fewer.
 PART_BYTES = 1 << 28
 #: Queries of a kind that ``slack`` is calibrated on, the share of their neighbours that must lie in visited cells, and the
@@ -80,6 +80,13 @@ def visited(first: np.ndarray, second: np.ndarray, slack: float) -> Iterator[tup
             heapq.heappush(heap, (d1[by1[i]] + d2[by2[j + 1]], i, j + 1))
 
 
+def _runs(cells: np.ndarray) -> tuple[list[int], list[int]]:
+    """Where the runs of equal numbers begin and end, cut to BLOCK_ROWS at most."""
+    edges = np.flatnonzero(np.diff(cells, prepend=-1)).tolist() + [len(cells)]
+    begins = [b for one, end in zip(edges, edges[1:]) for b in range(one, end, BLOCK_ROWS)]
+    return begins, [*begins[1:], len(cells)]
+
+
 def parts(homes: pd.DataFrame, most: int) -> pd.Series:
     """Numbers of parts for home cells ``grp, home, bytes``, in that order: each part's queries travel with about ``most``
     bytes, or are those of one home cell."""
@@ -191,6 +198,7 @@ def similar(df: DataFrame, k: int = 5, least: float = -1.0, slack: float | None
     slacks = _calibrated(placed, asking, centres, sizes, k, least) if slack is None else dict.fromkeys(sizes, slack)
 
     def visits(pdf: pd.DataFrame) -> Iterator[tuple[str, int, int, np.ndarray, pd.DataFrame]]:
+        """The queries of each home cell that visit some cell of a first centroid, its shelf."""
         for grp, part in pdf.groupby("grp"):
             x, (c1, c2) = matrix(part["vec"]), shared.value[grp]
             half = len(c1[0])
@@ -198,86 +206,104 @@ def similar(df: DataFrame, k: int = 5, least: float = -1.0, slack: float | None
             home = part["home"].to_numpy()
             order = np.argsort(home, kind="stable")
             for rows in np.split(order, np.flatnonzero(np.diff(home[order])) + 1):
-                for cell, those in visited(d1[rows], d2[rows], slacks.get(grp, 0.0)):
-                    yield grp, int(home[rows[0]]), cell, rows[those], part
+                those: dict[int, list[np.ndarray]] = {}
+                for cell, some in visited(d1[rows], d2[rows], slacks.get(grp, 0.0)):
+                    those.setdefault(cell // len(c2), []).append(some)
+                for shelf, some in those.items():
+                    yield grp, int(home[rows[0]]), shelf, rows[np.unique(np.concatenate(some))], part
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             numbers: dict[tuple[str, int, int], int] = {}
-            for grp, home, cell, rows, _ in visits(pdf):
-                numbers[grp, home, cell] = numbers.get((grp, home, cell), 0) + len(rows)
-            yield pd.DataFrame([(*key, n) for key, n in numbers.items()], columns=["grp", "home", "cell", "visits"])
+            for grp, home, shelf, rows, _ in visits(pdf):
+                numbers[grp, home, shelf] = numbers.get((grp, home, shelf), 0) + len(rows)
+            yield pd.DataFrame([(*key, n) for key, n in numbers.items()], columns=["grp", "home", "shelf", "visits"])
 
     def visit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             those: dict[tuple[str, int], list[np.ndarray]] = {}
             parts: dict[str, pd.DataFrame] = {}
-            for grp, _, cell, rows, part in visits(pdf):
-                those.setdefault((grp, cell), []).append(rows)
+            for grp, _, shelf, rows, part in visits(pdf):
+                those.setdefault((grp, shelf), []).append(rows)
                 parts[grp] = part
             arrays = {grp: (part["idx"].to_numpy(), matrix(part["vec"])) for grp, part in parts.items()}
             out = []
-            for (grp, cell), rows in those.items():
+            for (grp, shelf), rows in those.items():
                 ids, x = arrays[grp]
                 at = np.concatenate(rows)
-                out.append((grp, cell, ids[at].tobytes(), x[at].tobytes()))
-                if len(out) == 256:
-                    yield pd.DataFrame(out, columns=["grp", "cell", "ids", "vecs"])
+                for k in range(0, len(at), STEP):  # rows of bounded size, which the lots are made of
+                    out.append((grp, shelf, ids[at[k : k + STEP]].tobytes(), x[at[k : k + STEP]].tobytes()))
+                if len(out) >= 64:
+                    yield pd.DataFrame(out, columns=["grp", "shelf", "ids", "vecs"])
                     out = []
-            yield pd.DataFrame(out, columns=["grp", "cell", "ids", "vecs"])
+            yield pd.DataFrame(out, columns=["grp", "shelf", "ids", "vecs"])
 
-    held = staged(placed.groupBy("grp", "cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")))
-    counted = staged(asking.mapInPandas(count, "grp string, home int, cell int, visits long").groupBy("grp", "home", "cell").agg(F.sum("visits").alias("visits")), tidy=True)
-    group = ["grp", "cell", "block", "lot"]
+    seconds = F.broadcast(spark.createDataFrame([(grp, len(c[1])) for grp, c in centres.items()], "grp string, seconds int"))
+    shelved = placed.join(seconds, "grp").withColumn("shelf", F.floor(F.col("cell") / F.col("seconds")).cast("int")).drop("seconds")
+    held = staged(shelved.groupBy("grp", "shelf").agg(F.ceil(F.count("*") / SHELF_ROWS).cast("int").alias("blocks")))
+    counted = staged(asking.mapInPandas(count, "grp string, home int, shelf int, visits long").groupBy("grp", "home", "shelf").agg(F.sum("visits").alias("visits")), tidy=True)
+    group = ["grp", "shelf", "block", "lot"]
 
     def rerank(asked: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(asked) and len(there):
-            there = there.sort_values("idx")
-            e, ids = matrix(there["vec"]), there["idx"].to_numpy()
+            grp, shelf = asked["grp"].iat[0], int(asked["shelf"].iat[0])
+            there = there.sort_values(["cell", "idx"])
+            every, numbers, cells = matrix(there["vec"]), there["idx"].to_numpy(), there["cell"].to_numpy()
             q_ids = np.frombuffer(b"".join(asked["ids"]), dtype=np.int64)
             q = np.frombuffer(b"".join(asked["vecs"]), dtype=np.float32).reshape(len(q_ids), -1)
-            take = min(k + 1, len(ids))
+            c1, c2 = shared.value[grp]
+            half = len(c1[0])
             for i in range(0, len(q), STEP):
-                sims = q[i : i + STEP] @ e.T
-                near = sims >= least - 1e-6
-                if take < len(ids):
-                    full = np.flatnonzero(near.sum(axis=1) > take)  # only where more than fit are near enough
-                    if len(full):
-                        near[full] &= sims[full] >= -np.partition(-sims[full], take - 1, axis=1)[:, take - 1 : take]
-                row, col = np.nonzero(near)
-                exact = np.einsum("ij,ij->i", q[i + row].astype(np.float64), e[col].astype(np.float64))
-                order = np.lexsort((ids[col], -exact, row))
-                row, col, exact = row[order], col[order], exact[order]
-                nth = np.arange(len(row)) - np.searchsorted(row, row)
-                keep = (nth < take) & (exact >= least)
-                if keep.any():
-                    out.append(pd.DataFrame({"grp": asked["grp"].iat[0], "idx": q_ids[i + row[keep]], "neighbour": ids[col[keep]], "similarity": exact[keep]}))
+                d1, d2 = distances(q[i : i + STEP, :half], c1), distances(q[i : i + STEP, half:], c2)
+                away = (d1[:, shelf] - d1.min(axis=1))[:, None] + d2 - d2.min(axis=1, keepdims=True)
+                best = []
+                for begin, end in zip(*_runs(cells)):
+                    here = i + np.flatnonzero(away[:, cells[begin] % len(c2)] <= slacks.get(grp, 0.0) + 1e-5)  # sums of another order may differ
+                    if not len(here):
+                        continue
+                    e, ids = every[begin:end], numbers[begin:end]
+                    take = min(k + 1, len(ids))
+                    sims = q[here] @ e.T
+                    near = sims >= least - 1e-6
+                    if take < len(ids):
+                        full = np.flatnonzero(near.sum(axis=1) > take)  # only where more than fit are near enough
+                        if len(full):
+                            near[full] &= sims[full] >= -np.partition(-sims[full], take - 1, axis=1)[:, take - 1 : take]
+                    row, col = np.nonzero(near)
+                    if len(row):
+                        best.append((here[row], ids[col], np.einsum("ij,ij->i", q[here[row]].astype(np.float64), e[col].astype(np.float64))))
+                if best:
+                    row, ids, exact = (np.concatenate(x) for x in zip(*best))
+                    order = np.lexsort((ids, -exact, row))
+                    row, ids, exact = row[order], ids[order], exact[order]
+                    keep = (np.arange(len(row)) - np.searchsorted(row, row) < k + 1) & (exact >= least)
+                    out.append(pd.DataFrame({"grp": grp, "idx": q_ids[row[keep]], "neighbour": ids[keep], "similarity": exact[keep]}))
         return pd.concat(out) if out else pd.DataFrame({"grp": [], "idx": [], "neighbour": [], "similarity": []}).astype({"grp": str, "idx": "int64", "neighbour": "int64"})
 
     def search(asking: DataFrame, counted: DataFrame) -> DataFrame:
-        wanted = counted.groupBy("grp", "cell").agg(F.ceil(F.sum("visits") / QUERY_ROWS).cast("int").alias("lots"))
-        cells = F.broadcast(staged(held.join(wanted, ["grp", "cell"])))  # at most MOST_CENTROIDS squared a kind
+        wanted = counted.groupBy("grp", "shelf").agg(F.ceil(F.sum("visits") / QUERY_ROWS).cast("int").alias("lots"))
+        shelves = F.broadcast(staged(held.join(wanted, ["grp", "shelf"])))  # at most MOST_CENTROIDS a kind
         blocked = (
-            placed.join(cells, ["grp", "cell"])
+            shelved.join(shelves, ["grp", "shelf"])
             .withColumn("block", F.pmod(F.xxhash64("idx"), F.col("blocks")).cast("int"))
             .withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)))
-            .select("grp", "cell", "block", "lot", "idx", "vec")
+            .select("grp", "shelf", "block", "lot", "cell", "idx", "vec")
         )
-        # the queries of a batch that visit a cell travel as one row
+        # the queries of a batch that visit a shelf travel as one row
         queries = (
-            asking.mapInPandas(visit, "grp string, cell int, ids binary, vecs binary")
-            .join(cells, ["grp", "cell"])
+            asking.mapInPandas(visit, "grp string, shelf int, ids binary, vecs binary")
+            .join(shelves, ["grp", "shelf"])
             .withColumn("lot", F.pmod(F.xxhash64("ids"), F.col("lots")).cast("int"))
             .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("grp", "cell", "block", "lot", "ids", "vecs")
+            .select("grp", "shelf", "block", "lot", "ids", "vecs")
         )
         found = queries.groupBy(*group).cogroup(blocked.groupBy(*group)).applyInPandas(rerank, "grp string, idx long, neighbour long, similarity double")
         best = Window.partitionBy("grp", "idx").orderBy(F.desc("similarity"), "neighbour")
         return staged(found.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= k + 1).select("grp", "idx", "neighbour", "similarity"), tidy=True)
 
     # a query is in one part, so each part's lists are whole
-    homes = counted.join(F.broadcast(held), ["grp", "cell"]).groupBy("grp", "home").agg(F.sum(F.col("visits") * F.col("blocks")).alias("visits")).toPandas()  # at most MOST_CENTROIDS squared a kind
+    homes = counted.join(F.broadcast(held), ["grp", "shelf"]).groupBy("grp", "home").agg(F.sum(F.col("visits") * F.col("blocks")).alias("visits")).toPandas()  # at most MOST_CENTROIDS squared a kind
     row_bytes = {grp: 4 * sum(c.shape[1] for c in centres[grp]) + 8 for grp in sizes}
     homes["bytes"] = homes["visits"] * homes["grp"].map(row_bytes)
     homes["part"] = parts(homes, max(PART_BYTES, sum(n * row_bytes[grp] for grp, n in sizes.items())))
